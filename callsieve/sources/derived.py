@@ -105,3 +105,15 @@ def rule_predictions(embeddings: DataFrame) -> DataFrame:
         (F.array_position(head, F.array_max(head)) - 1).cast("double").alias("label"),
         (F.array_position(coarse, F.array_max(coarse)) - 1).cast("double").alias("prediction"),
     )
+
+
+def rule_probabilities(embeddings: DataFrame) -> DataFrame:
+    """Labelled rows with a softmax over the first four values as class probabilities."""
+    head = F.slice("embedding", 1, 4)
+    weights = F.transform(head, lambda x: F.exp(x.cast("double") * 10))
+    total = F.aggregate("weights", F.lit(0.0), lambda sum_, w: sum_ + w)
+    return embeddings.select(
+        "vec_id",
+        (F.array_position(head, F.array_max(head)) - 1).cast("double").alias("label"),
+        weights.alias("weights"),
+    ).select("vec_id", "label", F.transform("weights", lambda w: w / total).alias("probability"))
