@@ -23,7 +23,7 @@ def module_function(spark: SparkSession, path: str, function: str, returns: T.Da
     def call(*args: pd.Series) -> pd.Series:
         return getattr(importlib.import_module(module), function)(*args)
 
-    return _series_udf(call, returns)
+    return F.pandas_udf(call, returns)
 
 
 def batch_function(function: Callable, returns: T.DataType | str) -> Callable:
@@ -32,7 +32,7 @@ def batch_function(function: Callable, returns: T.DataType | str) -> Callable:
     def call(*args: pd.Series) -> pd.Series:
         return function(*args)
 
-    return _series_udf(call, returns)
+    return F.pandas_udf(call, returns)
 
 
 def register_function(
@@ -42,10 +42,6 @@ def register_function(
     spark.udf.register(name, batch_function(function, returns))
 
 
-def _series_udf(call: Callable, returns: T.DataType | str) -> Callable:
-    return F.pandas_udf(call, returnType=returns, functionType=F.PandasUDFType.SCALAR)
-
-
 def map_matrices(
     df: DataFrame,
     column: str,

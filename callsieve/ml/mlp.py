@@ -175,12 +175,9 @@ class DistributedMLPModel(Model, _NetworkParams):
         super().__init__()
         self.weights = weights
         self.history = history or []
-        self._sent: Broadcast | None = None
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        if self._sent is None:
-            self._sent = df.sparkSession.sparkContext.broadcast(self.weights)
-        sent, layers = self._sent, self.getLayers()
+        sent, layers = df.sparkSession.sparkContext.broadcast(self.weights), self.getLayers()
 
         def score(features: pa.Array) -> pa.Array:
             present, x = _matrix(features, layers[0])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
@@ -29,10 +29,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def fits_broadcast(df: DataFrame, text_columns: list[str], limit: int = BROADCAST_BYTES) -> bool:
-    """Whether all rows of `df` together stay under `limit` bytes. Counts every row, so pass a computed frame."""
-    text_bytes: Column = F.lit(0)
-    for name in text_columns:
-        text_bytes = text_bytes + F.coalesce(F.octet_length(name), F.lit(0))
-    total = df.agg(F.sum(text_bytes + ROW_OVERHEAD_BYTES).alias("bytes")).first()["bytes"]
-    return (total or 0) <= limit
+def size_in_bytes(df: DataFrame) -> int:
+    """An upper estimate of what all rows of `df` take in memory. Reads every row: pass a computed frame."""
+    size = F.lit(ROW_OVERHEAD_BYTES)
+    for name in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+    return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0

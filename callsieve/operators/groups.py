@@ -4,30 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from callsieve.operators.checkpoints import BROADCAST_BYTES, checkpointed, size_in_bytes
+
 PART = "_part"
-COPIES = "_copies"
 MAX_ROWS = 100_000
 
 
-def bounded_parts(rows: DataFrame, key: str, max_rows: int = MAX_ROWS) -> DataFrame:
-    """All rows, shuffled so that each (key, `_part`) is together and holds about `max_rows` at most.
+def bounded_parts(
+    rows: DataFrame, key: str, max_rows: int = MAX_ROWS, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """All rows, with a `_part` such that a (key, `_part`) holds about `max_rows` rows at most.
 
-    A key within the bound is one part. A larger key is cut into parts by a hash of the row. Equal
-    rows hash alike, so there they are counted before the shuffle and dealt out over the parts; that
-    keeps a key made of copies of one row bounded too. The cut depends on the rows alone, so a
-    recomputed task places them as before. Without large keys adaptive execution drops that branch.
+    A first pass counts rows per key from the key column alone. Keys within the bound are part 0;
+    if there are no others, that is all. Larger keys are cut into parts by a hash of the row. Equal
+    rows hash alike, so there they are first counted, then dealt out over the parts, and written
+    out again only once the part is together: a key made of copies of one row stays bounded too.
+    The cut depends on the rows alone, so a task that runs again places them as before.
     """
     if max_rows < 1:
         raise ValueError("max_rows must be at least 1")
+    large = checkpointed(
+        rows.groupBy(F.col(key).alias("_large"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > max_rows)
+    )
+    size = size_in_bytes(large)
+    if size == 0:
+        return rows.withColumn(PART, F.lit(0))
+    if size <= broadcast_bytes:
+        large = F.broadcast(large)
+
     columns = rows.columns
-    sizes = rows.groupBy(F.col(key).alias("_large")).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.filter(F.col("_rows") > max_rows)
     is_large = F.col(key).eqNullSafe(F.col("_large"))
-
     small_keys = rows.join(large, is_large, "left_anti").select(
-        *columns, F.lit(0).alias(PART), F.lit(1).cast("bigint").alias(COPIES)
+        *columns, F.lit(0).alias(PART), F.lit(1).cast("bigint").alias("_copies")
     )
-    pieces = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / max_rows))
+    parts = F.ceil(F.col("_rows") / max_rows)
+    piece = max(1, max_rows // 8)  # small against a part, so the parts come out even
+    pieces = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / piece))
     large_keys = (
         rows.join(large, is_large)
         .groupBy(*columns, "_rows")
@@ -35,15 +49,13 @@ def bounded_parts(rows: DataFrame, key: str, max_rows: int = MAX_ROWS) -> DataFr
         .withColumn("_piece", F.explode(pieces))
         .select(
             *columns,
-            F.pmod(F.xxhash64(*columns) + F.col("_piece"), F.ceil(F.col("_rows") / max_rows))
-            .cast("int")
-            .alias(PART),
-            F.least(F.lit(max_rows), F.col("_n") - F.col("_piece") * max_rows).alias(COPIES),
+            F.pmod(F.pmod(F.xxhash64(*columns), parts) + F.col("_piece"), parts).cast("int").alias(PART),
+            F.least(F.lit(piece), F.col("_n") - F.col("_piece") * piece).alias("_copies"),
         )
     )
     return (
         small_keys.unionByName(large_keys)
         .repartition(key, PART)
-        .withColumn(COPIES, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(COPIES))))
-        .drop(COPIES)
+        .withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+        .drop("_copies")
     )

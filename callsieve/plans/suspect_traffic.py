@@ -13,7 +13,7 @@ from callsieve.operators.calls import (
     session_measures,
     session_rollup,
 )
-from callsieve.operators.checkpoints import BROADCAST_BYTES, checkpointed, fits_broadcast
+from callsieve.operators.checkpoints import BROADCAST_BYTES, checkpointed, size_in_bytes
 from callsieve.operators.endpoint_join import ENDPOINT, either_endpoint_join, with_endpoint
 
 ENDS = ("calling_number", "called_number")
@@ -30,7 +30,7 @@ def suspect_traffic(
     """
     today = legs_of_day(legs, rules)
     heavy = checkpointed(heavy_callers(today, rules).select("calling_number"))
-    if fits_broadcast(heavy, ["calling_number"], broadcast_bytes):
+    if size_in_bytes(heavy) <= broadcast_bytes:
         return _filter_then_roll_up(today, heavy)
     return either_endpoint_join(session_rollup(today), heavy, ENDS, "calling_number")
 
