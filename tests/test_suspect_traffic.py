@@ -225,18 +225,18 @@ def test_skewed_caller_is_split_when_the_join_is_shuffled(spark):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        spread = F.concat(F.lit("130"), F.lpad((F.col("id") % 4000).cast("string"), 8, "0"))
+        spread = F.concat(F.lit("130"), F.lpad((F.col("id") % 50000).cast("string"), 8, "0"))
         frame = spark.range(0, 60000, 1, 8).select(
             *[
                 {
-                    "calling_number": F.when(F.col("id") % 2 == 0, "13099999999").otherwise(spread),
+                    "calling_number": F.when(F.col("id") % 16 > 0, "13099999999").otherwise(spread),
                     "called_number": F.lit(None).cast("string"),
                     "callid": F.col("id").cast("string"),
                 }.get(name, F.lit(BASE.get(name)).cast(LEG_SCHEMA[name].dataType)).alias(name)
                 for name in LEG_SCHEMA.names
             ]
         )
-        found = suspect_traffic(frame, SuspectRules(min_calls=5), broadcast_bytes=0)
+        found = suspect_traffic(frame, SuspectRules(min_calls=1), broadcast_bytes=0)
         assert len(found.collect()) == 60000
         assert "SortMergeJoin(skew=true)" in plan(found)
     finally:
