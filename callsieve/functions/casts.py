@@ -8,11 +8,14 @@ from pyspark.sql import Column, functions as F
 def lenient_bigint(text: Column) -> Column:
     """Text as bigint, cutting a decimal part and giving NULL for text that is no number.
 
-    The same under ANSI and non-ANSI sessions. Plain integers never reach the patterns.
+    The same under ANSI and non-ANSI sessions. Only text with a point reaches the patterns.
     """
     fraction_only = text.rlike(r"^\s*[+-]?\.[0-9]*\s*$")
     whole_part = F.regexp_replace(text, r"\.[0-9]*\s*$", "")
     return F.coalesce(
         text.try_cast("bigint"),
-        F.when(fraction_only, F.lit(0).cast("bigint")).otherwise(whole_part.try_cast("bigint")),
+        F.when(
+            text.contains("."),
+            F.when(fraction_only, F.lit(0).cast("bigint")).otherwise(whole_part.try_cast("bigint")),
+        ),
     )

@@ -35,3 +35,8 @@ def size_in_bytes(df: DataFrame) -> int:
     for name in df.columns:
         size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
     return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, without running anything. Huge where it knows nothing."""
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()

@@ -9,12 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 ENDPOINT = "_endpoint"
 
 
-def with_endpoint(fact: DataFrame, first: str, second: str) -> DataFrame:
-    """`fact` once per distinct endpoint, the endpoint in its own column."""
-    ends = F.when(F.col(first) == F.col(second), F.array(first)).otherwise(F.array(first, second))
-    return fact.withColumn(ENDPOINT, F.explode(ends))
-
-
 def either_endpoint_join(
     fact: DataFrame,
     keys: DataFrame,
@@ -27,9 +21,10 @@ def either_endpoint_join(
     Same rows as an inner join on `first = key or second = key`, but as an equi-join: it can be
     shuffled or broadcast, and adaptive execution can split a skewed key. NULLs never match.
     """
-    wanted = keys.select(F.col(key).alias(ENDPOINT), *payload)
+    first, second = endpoints
+    ends = F.when(F.col(first) == F.col(second), F.array(first)).otherwise(F.array(first, second))
     return (
-        with_endpoint(fact, *endpoints)
-        .join(wanted, ENDPOINT)
+        fact.withColumn(ENDPOINT, F.explode(ends))
+        .join(keys.select(F.col(key).alias(ENDPOINT), *payload), ENDPOINT)
         .select(*[F.col(c) for c in fact.columns], *[F.col(c) for c in payload])
     )

@@ -11,15 +11,21 @@ MAX_ROWS = 100_000
 
 
 def bounded_parts(
-    rows: DataFrame, key: str, max_rows: int = MAX_ROWS, broadcast_bytes: int = BROADCAST_BYTES
+    rows: DataFrame,
+    key: str,
+    max_rows: int = MAX_ROWS,
+    tasks: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """All rows, with a `_part` such that a (key, `_part`) holds about `max_rows` rows at most.
+    """All rows, shuffled so that each (key, `_part`) is together and holds about `max_rows` at most.
 
     A first pass counts rows per key from the key column alone. Keys within the bound are part 0;
     if there are no others, that is all. Larger keys are cut into parts by a hash of the row. Equal
     rows hash alike, so there they are first counted, then dealt out over the parts, and written
     out again only once the part is together: a key made of copies of one row stays bounded too.
     The cut depends on the rows alone, so a task that runs again places them as before.
+
+    `tasks` fixes the number of partitions; without it adaptive execution merges small ones.
     """
     if max_rows < 1:
         raise ValueError("max_rows must be at least 1")
@@ -29,8 +35,9 @@ def bounded_parts(
         .filter(F.col("_rows") > max_rows)
     )
     size = size_in_bytes(large)
+    fixed = [] if tasks is None else [tasks]
     if size == 0:
-        return rows.withColumn(PART, F.lit(0))
+        return rows.repartition(*fixed, key).withColumn(PART, F.lit(0))
     if size <= broadcast_bytes:
         large = F.broadcast(large)
 
@@ -55,7 +62,7 @@ def bounded_parts(
     )
     return (
         small_keys.unionByName(large_keys)
-        .repartition(key, PART)
+        .repartition(*fixed, key, PART)
         .withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
         .drop("_copies")
     )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -63,12 +64,32 @@ def score_by_key(
     them. A key above `max_rows` is given in several parts, on several executors, so `merge` says
     how parts combine: aggregates over the partial columns. Only partial rows are shuffled for it.
     """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = bounded_parts(rows, key, max_rows, tasks).sortWithinPartitions(key, PART)
 
-    def score(part: pd.DataFrame) -> pd.DataFrame:
-        return function(part.drop(columns=PART))
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Rows come sorted, so a group ends where the key or the part changes; the last group of
+        # a batch may go on in the next one. Many groups per batch cost far less than one call each.
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            ends = np.flatnonzero(_changes(batch[key]) | _changes(batch[PART])) + 1
+            starts = [0, *ends]
+            calls = batch.drop(columns=PART)
+            scores = [function(calls.iloc[a:b]) for a, b in zip(starts, ends)]
+            if scores:
+                yield pd.concat(scores, ignore_index=True)
+            rest = batch.iloc[starts[-1] :]
+        if rest is not None and len(rest):
+            yield function(rest.drop(columns=PART))
 
-    partial = bounded_parts(rows, key, max_rows).groupBy(key, PART).applyInPandas(score, partial_schema)
-    return partial.groupBy(key).agg(*merge)
+    return grouped.mapInPandas(score, partial_schema).groupBy(key).agg(*merge)
+
+
+def _changes(values: pd.Series) -> np.ndarray:
+    """Whether each value but the first differs from the one before, NULLs being equal."""
+    v, missing = values.to_numpy(), values.isna().to_numpy()
+    return (v[1:] != v[:-1]) & ~(missing[1:] & missing[:-1])
 
 
 def first_n(rows: DataFrame, n: int, *order: str) -> DataFrame:

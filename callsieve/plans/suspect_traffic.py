@@ -13,35 +13,50 @@ from callsieve.operators.calls import (
     session_measures,
     session_rollup,
 )
-from callsieve.operators.checkpoints import BROADCAST_BYTES, checkpointed, size_in_bytes
-from callsieve.operators.endpoint_join import ENDPOINT, either_endpoint_join, with_endpoint
+from callsieve.operators.checkpoints import BROADCAST_BYTES, checkpointed, estimated_bytes, size_in_bytes
+from callsieve.operators.endpoint_join import either_endpoint_join
 
 ENDS = ("calling_number", "called_number")
+SMALL_BYTES = 1024**3
 
 
 def suspect_traffic(
-    legs: DataFrame, rules: SuspectRules = SuspectRules(), broadcast_bytes: int = BROADCAST_BYTES
+    legs: DataFrame,
+    rules: SuspectRules = SuspectRules(),
+    small_bytes: int = SMALL_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Sessions of the day with a heavy caller as caller or callee, once per heavy end.
 
-    The heavy callers are computed first and measured. If they fit, they are broadcast and drop
-    the other legs before the roll-up's shuffle; if not, the sessions are rolled up first and
-    meet the heavy callers in a shuffled join, whose skewed keys adaptive execution splits.
+    On small input this is one job: roll-up, heavy callers, and a join that adaptive execution
+    chooses. Otherwise the heavy callers are computed first and measured. If they fit, they are
+    broadcast and drop the other legs before the roll-up's shuffle; if not, the sessions are rolled
+    up first and meet them in a shuffled join, whose skewed keys adaptive execution splits.
     """
     today = legs_of_day(legs, rules)
-    heavy = checkpointed(heavy_callers(today, rules).select("calling_number"))
-    if size_in_bytes(heavy) <= broadcast_bytes:
-        return _filter_then_roll_up(today, heavy)
+    heavy = heavy_callers(today, rules).select("calling_number")
+    if estimated_bytes(today) > small_bytes:
+        heavy = checkpointed(heavy)
+        if size_in_bytes(heavy) <= broadcast_bytes:
+            return _filter_then_roll_up(today, heavy)
     return either_endpoint_join(session_rollup(today), heavy, ENDS, "calling_number")
 
 
 def _filter_then_roll_up(today: DataFrame, heavy: DataFrame) -> DataFrame:
-    # Both ends are session keys, so the legs of a session match the same heavy callers: joining
-    # before the roll-up and grouping by the matched end as well gives each session once per match.
-    matched = with_endpoint(today, *ENDS).join(
-        F.broadcast(heavy.withColumnRenamed("calling_number", ENDPOINT)), ENDPOINT
+    # Both ends are session keys, so all legs of a session match the same heavy callers, and the
+    # number of matches can ride through the roll-up as one more key.
+    caller = F.broadcast(heavy.select(F.col("calling_number").alias("_caller")))
+    callee = F.broadcast(heavy.select(F.col("calling_number").alias("_callee")))
+    same = F.col("_caller").eqNullSafe(F.col("_callee"))
+    matches = F.when(F.col("_caller").isNotNull() & F.col("_callee").isNotNull() & ~same, 2).otherwise(1)
+    sessions = (
+        today.join(caller, F.col("calling_number") == F.col("_caller"), "left")
+        .join(callee, F.col("called_number") == F.col("_callee"), "left")
+        .filter(F.col("_caller").isNotNull() | F.col("_callee").isNotNull())
+        .groupBy(*SESSION_KEYS, matches.alias("_matches"))
+        .agg(*session_measures())
     )
-    return matched.groupBy(*SESSION_KEYS, ENDPOINT).agg(*session_measures()).select(*SESSION_COLUMNS)
+    return sessions.withColumn("_match", F.explode(F.sequence(F.lit(1), "_matches"))).select(*SESSION_COLUMNS)
 
 
 def suspect_traffic_sql(

@@ -118,6 +118,27 @@ def test_score_does_not_depend_on_partitioning(spark):
     assert all(s == seen[0] for s in seen)
 
 
+def test_groups_longer_than_a_batch(skewed, spark):
+    rows, frame = skewed
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = {r["phone1"]: r["n"] for r in scored(frame).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert found == Counter(r[0] for r in rows)
+
+
+def test_numeric_key_with_nulls(spark):
+    frame = spark.createDataFrame([(1, 5), (None, 6), (None, 7), (2, 8), (1, 9)], "k bigint, v bigint")
+
+    def total(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": group["k"].iloc[:1].astype("Int64"), "v": group["v"].sum()})
+
+    found = score_by_key(frame, "k", total, "k bigint, v bigint", [F.sum("v").alias("v"), F.count("*").alias("n")])
+    assert {tuple(r) for r in found.collect()} == {(1, 14, 1), (None, 13, 1), (2, 8, 1)}
+
+
 def test_first_n(spark):
     scores = scored(rows_to_frame(spark, CALL_ROWS))
     assert [tuple(r) for r in first_n(scores, 2, "phone1").collect()] == [
