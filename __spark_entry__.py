@@ -26,7 +26,6 @@ from callsieve.ml.mlp import DistributedMLP  # noqa: E402
 from callsieve.operators import calls, history  # noqa: E402
 from callsieve.operators.endpoint_join import either_endpoint_join  # noqa: E402
 from callsieve.plans import image_classifier, suspect_traffic  # noqa: E402
-from callsieve.shipping import ship_package  # noqa: E402
 from callsieve.sources import derived, tables  # noqa: E402
 
 # Callers in `events` make about 67 calls each, so the usual minimum of 100 would leave no rows.
@@ -269,7 +268,6 @@ def _ml_log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     return derived.labelled_vectors(_vectors(spark, sf_dir))
 
 

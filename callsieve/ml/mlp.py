@@ -21,6 +21,7 @@ from callsieve.functions.arrays import class_index
 from callsieve.ml import network
 from callsieve.ml.optimizers import OPTIMIZERS
 from callsieve.ml.split import content_point
+from callsieve.shipping import ship_package
 
 BLOCK = 4096  # weights per row when tasks hand their change back
 TRAIN_LOSS, HELD_OUT = -1, -2  # block numbers of the figures that travel with the weights
@@ -118,6 +119,7 @@ class DistributedMLP(
 
     def _fit(self, df: DataFrame) -> DistributedMLPModel:
         self._check()
+        ship_package(df.sparkSession)
         layers, seed = self.getLayers(), self.getSeed()
         weights = network.initial_weights(layers, seed)
         rule = OPTIMIZERS[self.getOrDefault(self.optimizer)]()
@@ -177,6 +179,7 @@ class DistributedMLPModel(Model, _NetworkParams):
         self.history = history or []
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        ship_package(df.sparkSession)
         sent, layers = df.sparkSession.sparkContext.broadcast(self.weights), self.getLayers()
 
         def score(features: pa.Array) -> pa.Array:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from callsieve.operators.groups import MAX_ROWS, PART, bounded_parts
+from callsieve.shipping import ship_package
 
 # The fields of a call kept in a history, with and without the event.
 CALL_FIELDS = (
@@ -64,6 +65,7 @@ def score_by_key(
     them. A key above `max_rows` is given in several parts, on several executors, so `merge` says
     how parts combine: aggregates over the partial columns. Only partial rows are shuffled for it.
     """
+    ship_package(rows.sparkSession)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = bounded_parts(rows, key, max_rows, tasks).sortWithinPartitions(key, PART)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from callsieve.functions.casts import FRACTION_ONLY, NUMBER
 from callsieve.operators.calls import (
     SESSION_COLUMNS,
     SESSION_KEYS,
@@ -63,9 +64,9 @@ def suspect_traffic_sql(
     spark: SparkSession, legs: DataFrame, rules: SuspectRules = SuspectRules()
 ) -> DataFrame:
     """The same result as one SQL statement, the join type left to adaptive execution."""
-    number = r"""coalesce(try_cast({0} as bigint),
-        case when {0} rlike r'^\s*[+-]?\.[0-9]*\s*$' then 0L
-             else try_cast(regexp_replace({0}, r'\.[0-9]*\s*$', '') as bigint) end)"""
+    number = "case when {0} rlike :number then try_cast(substring_index({0}, '.', 1) as bigint)" + (
+        " when {0} rlike :fraction then 0L end"
+    )
     seconds = "coalesce(case protocolid when '120' then call_duration else answerdur end, '0')"
     excluded = " ".join(
         f"and not startswith(calling_number, :excluded{i})"
@@ -95,6 +96,8 @@ def suspect_traffic_sql(
         select {", ".join(SESSION_COLUMNS)} from ends join heavy using (number)
         """,
         args={
+            "number": NUMBER,
+            "fraction": FRACTION_ONLY,
             "day": rules.day,
             "address": rules.address_prefix,
             "min_calls": rules.min_calls,

@@ -25,8 +25,5 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    from callsieve.shipping import ship_package
-
-    ship_package(session)
     yield session
     session.stop()

@@ -12,6 +12,8 @@ CASTS = [
     ("1e3", None), ("1.5e3", None), ("12.7.1", None), ("12.7abc", None), ("1 2", None), ("-", None), ("+", None),
     ("9223372036854775807", 9223372036854775807), ("9223372036854775808", None),
     ("-9223372036854775808", -9223372036854775808), ("9223372036854775807.9", 9223372036854775807),
+    ("\t12\n", 12), ("\x0112.5\x7f", 12), ("12\n\n", 12), ("1\n2", None), ("12 .5", None), ("12. 5", None),
+    ("-.", 0), (" .5 ", 0), ("..5", None), ("\u00a012", None), ("\u0661\u0662", None), ("+-1", None), ("1,000", None),
     ("0012", 12), ("0x10", None), ("NaN", None), ("12L", None),
 ]
 
