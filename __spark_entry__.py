@@ -279,26 +279,25 @@ def _ml_mlp_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("vec_id", "label", "prediction")
 
 
-def _plain_mlp() -> DistributedMLP:
+def _mlp(hidden: list[int], **settings) -> DistributedMLP:
     """Small batches and plain averaging: learns most from these few rows."""
-    return DistributedMLP(layers=[64, 32, 4], epochs=15, batchSize=8, optimizer="plain", validationSplit=0.0)
+    return DistributedMLP(layers=[64, *hidden, 4], batchSize=8, optimizer="plain", **settings)
 
 
 def _ml_mlp_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled_vectors(spark, sf_dir)
-    scored = image_classifier.train_and_score(rows, _plain_mlp(), "vec_id")
-    return scored.select("vec_id", "label", "prediction")
+    estimator = _mlp([32], epochs=15, validationSplit=0.0)
+    return image_classifier.train_and_score(rows, estimator, "vec_id").select("vec_id", "label", "prediction")
 
 
 def _ml_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled_vectors(spark, sf_dir)
-    return _plain_mlp().fit(rows).transform(rows).select("vec_id", "label", "prediction")
+    model = _mlp([32], epochs=15, validationSplit=0.0).fit(rows)
+    return model.transform(rows).select("vec_id", "label", "prediction")
 
 
 def _ml_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled_vectors(spark, sf_dir)
     one_hot = rows.withColumn("one_hot", arrays.one_hot(F.col("label"), 4))
-    estimator = DistributedMLP(
-        layers=[64, 128, 128, 4], labelCol="one_hot", categoricalLabels=True, numClasses=4, epochs=5
-    )
+    estimator = _mlp([128, 128], epochs=8, labelCol="one_hot", categoricalLabels=True, numClasses=4)
     return image_classifier.end_to_end(one_hot, estimator, "vec_id")

@@ -141,7 +141,7 @@ class DistributedMLP(
                     break
                 if TRAIN_LOSS not in blocks:
                     raise ValueError("no rows to train on")
-                change = np.concatenate([blocks[b] for b in range(-(-len(weights) // BLOCK))])
+                change = np.concatenate([blocks[b] for b in range(_block_count(layers))])
                 weights = rule.step(weights, change)
                 history.append({"round": round_no + 1, "loss": blocks[TRAIN_LOSS][0]})
                 if self.getOrDefault(self.verbosity) > 0:
@@ -162,8 +162,11 @@ class DistributedMLP(
             rng = np.random.default_rng([*seeds, TaskContext.get().partitionId()])
             yield from _changes(batches, sent.value, layers, local_rule(), batch_size, dropout, rng, train)
 
+        # A task returns each block once, so there is nothing to combine before the shuffle, and the
+        # session's own partition count would leave most reducers empty.
         means = (
             rows.mapInArrow(run, CHANGE_SCHEMA)
+            .repartition(_block_count(layers), "block")
             .groupBy("block")
             .agg(Summarizer.mean(array_to_vector("change"), F.col("n").cast("double")).alias("mean"))
         )
@@ -193,6 +196,10 @@ class DistributedMLPModel(Model, _NetworkParams):
         ).withColumn(self.getPredictionCol(), class_index(F.col(self.getProbabilityCol())))
 
 
+def _block_count(layers: list[int]) -> int:
+    return -(-network.weight_count(layers) // BLOCK)
+
+
 def _as_array(df: DataFrame, column: str, dtype: str) -> Column:
     if isinstance(df.schema[column].dataType, VectorUDT):
         return vector_to_array(column, dtype)

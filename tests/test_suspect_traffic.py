@@ -195,9 +195,8 @@ def test_random_legs_against_the_or_join(spark, rules):
     assert Counter(map(tuple, suspect_traffic_sql(spark, frame, rules).collect())) == expected
 
 
-def test_plan_on_a_partitioned_table(spark, events_legs, tmp_path):
-    events_legs.write.partitionBy("_add_day").parquet(str(tmp_path / "legs"))
-    spark.read.parquet(str(tmp_path / "legs")).createOrReplaceTempView("call_legs_by_day")
+def test_plan_on_a_partitioned_catalog_table(spark, events_legs):
+    events_legs.write.partitionBy("_add_day").saveAsTable("call_legs_by_day")
     table, rules = spark.table("call_legs_by_day"), SuspectRules(min_calls=30)
 
     measured = suspect_traffic(table, rules, small_bytes=0)
