@@ -59,7 +59,7 @@ def loss_and_gradient(
         h = np.maximum(inputs[-1] @ w + b, 0)
         mask = (h > 0).astype(h.dtype)
         if dropout > 0:
-            kept = (rng.random(h.shape) >= dropout).astype(h.dtype) / (1 - dropout)
+            kept = (rng.random(h.shape, dtype=np.float32) >= dropout).astype(h.dtype) / (1 - dropout)
             h, mask = h * kept, mask * kept
         inputs.append(h)
         masks.append(mask)

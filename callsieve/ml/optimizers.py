@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 
@@ -10,15 +12,20 @@ class Adam:
 
     def __init__(self, rate: float = 0.001, decay1: float = 0.9, decay2: float = 0.999, eps: float = 1e-8):
         self.rate, self.decay1, self.decay2, self.eps = rate, decay1, decay2, eps
-        self.steps, self.mean, self.square = 0, 0.0, 0.0
+        self.steps = 0
 
     def step(self, weights: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+        if self.steps == 0:
+            self.mean, self.square = np.zeros_like(gradient), np.zeros_like(gradient)
         self.steps += 1
-        self.mean = self.decay1 * self.mean + (1 - self.decay1) * gradient
-        self.square = self.decay2 * self.square + (1 - self.decay2) * gradient**2
-        mean = self.mean / (1 - self.decay1**self.steps)
-        square = self.square / (1 - self.decay2**self.steps)
-        return (weights - self.rate * mean / (np.sqrt(square) + self.eps)).astype(weights.dtype)
+        self.mean += (1 - self.decay1) * (gradient - self.mean)
+        self.square += (1 - self.decay2) * (gradient * gradient - self.square)
+        # The paper's faster order: both bias corrections as one factor per step.
+        root = math.sqrt(1 - self.decay2**self.steps)
+        rate = self.rate * root / (1 - self.decay1**self.steps)
+        scale = np.sqrt(self.square)
+        scale += self.eps * root
+        return (weights - rate * (self.mean / scale)).astype(weights.dtype, copy=False)
 
 
 class Adadelta:

@@ -30,7 +30,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def size_in_bytes(df: DataFrame) -> int:
-    """An upper estimate of what all rows of `df` take in memory. Reads every row: pass a computed frame."""
+    """An upper estimate of what all rows of `df` take in memory, 0 for no rows. This computes `df`."""
     size = F.lit(ROW_OVERHEAD_BYTES)
     for name in df.columns:
         size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))

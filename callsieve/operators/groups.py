@@ -29,7 +29,7 @@ def bounded_parts(
     """
     if max_rows < 1:
         raise ValueError("max_rows must be at least 1")
-    large = checkpointed(
+    large = (
         rows.groupBy(F.col(key).alias("_large"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > max_rows)
@@ -38,6 +38,7 @@ def bounded_parts(
     fixed = [] if tasks is None else [tasks]
     if size == 0:
         return rows.repartition(*fixed, key).withColumn(PART, F.lit(0))
+    large = checkpointed(large)  # used twice below
     if size <= broadcast_bytes:
         large = F.broadcast(large)
 
