@@ -25,11 +25,14 @@ from callsieve.ml import features, metrics, split  # noqa: E402
 from callsieve.ml.mlp import DistributedMLP  # noqa: E402
 from callsieve.operators import calls, history  # noqa: E402
 from callsieve.operators.endpoint_join import either_endpoint_join  # noqa: E402
+from callsieve.operators.groups import MAX_ROWS  # noqa: E402
 from callsieve.plans import image_classifier, suspect_traffic  # noqa: E402
 from callsieve.sources import derived, tables  # noqa: E402
 
 # Callers in `events` make about 67 calls each, so the usual minimum of 100 would leave no rows.
 RULES = calls.SuspectRules(min_calls=30)
+# Small enough that most phones in `events` are cut into parts, as very large keys are.
+SMALL_PART = 25
 USER_FILE = str(ROOT / "examples" / "call_scores.py")
 
 
@@ -48,6 +51,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdr_heavy_callers": _heavy_callers,
         "either_endpoint_join": _either_endpoint_join,
         "cdr_suspect_traffic": lambda s, d: suspect_traffic.suspect_traffic(_legs(s, d), RULES),
+        "cdr_suspect_traffic_measured": lambda s, d: suspect_traffic.suspect_traffic(
+            _legs(s, d), RULES, small_bytes=0
+        ),
+        "cdr_suspect_traffic_shuffled": lambda s, d: suspect_traffic.suspect_traffic(
+            _legs(s, d), RULES, small_bytes=0, broadcast_bytes=0
+        ),
         "cdr_suspect_traffic_sql": lambda s, d: suspect_traffic.suspect_traffic_sql(s, _legs(s, d), RULES),
         "safe_bigint": _safe_bigint,
         "duration_expr": _duration_expr,
@@ -55,11 +64,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "calls_literal": _calls,
         "call_history_by_phone": lambda s, d: _history_rows(s, d, history.CALL_FIELDS),
         "call_history_by_phone_6": lambda s, d: _history_rows(s, d, history.CALL_FIELDS_WITHOUT_EVENT),
+        "call_history_in_parts": _history_in_parts,
         "call_history_json": _history_json,
         "py_scalar_sql": _py_scalar_sql,
         "py_scalar_add": _py_scalar_add,
         "py_module_udf": _py_module_udf,
         "py_grouped_score": _py_grouped_score,
+        "py_grouped_score_in_parts": lambda s, d: _py_grouped_score(s, d, SMALL_PART),
         "py_ndarray_reshape": _py_ndarray_reshape,
         "take_n": lambda s, d: history.first_n(_py_grouped_score(s, d), 5, "phone1"),
         "array_reshape": _array_reshape,
@@ -187,6 +198,12 @@ def _history_rows(spark: SparkSession, sf_dir: str, fields: tuple[str, ...]) ->
     )
 
 
+def _history_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls of all parts; which part a call is in depends on a hash SQL does not have."""
+    parts = history.collect_history(_calls(spark, sf_dir), max_rows=SMALL_PART)
+    return parts.select(F.inline("calls"))
+
+
 def _history_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     collected = history.collect_history(_calls(spark, sf_dir))
     return collected.select("phone1", "part", text.nested_json(F.col("calls")).alias("calls"))
@@ -213,7 +230,7 @@ def _py_module_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _py_grouped_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _py_grouped_score(spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS) -> DataFrame:
     return history.score_by_key(
         _calls(spark, sf_dir),
         "phone1",
@@ -225,6 +242,7 @@ def _py_grouped_score(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("longest").alias("longest"),
             F.sum("night_calls").alias("night_calls"),
         ],
+        max_rows,
     )
 
 

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_BYTES = 256 * 1024 * 1024
-ROW_OVERHEAD_BYTES = 64
+ROW_OVERHEAD_BYTES = 128  # per row of a broadcast hash table
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
@@ -30,10 +30,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def size_in_bytes(df: DataFrame) -> int:
-    """An upper estimate of what all rows of `df` take in memory, 0 for no rows. This computes `df`."""
+    """What all rows of `df` take as a broadcast hash table, at most; 0 for no rows. This computes `df`."""
     size = F.lit(ROW_OVERHEAD_BYTES)
     for name in df.columns:
-        size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+        # A key column is held twice: in the key and in the row.
+        size = size + 2 * F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
     return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
 
 

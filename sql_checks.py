@@ -131,6 +131,8 @@ group by calling_number, called_number, callid""",
 select a.calling_number, a.called_number, a.callid, a.cnt, b.calls
 from sessions a join heavy b on a.calling_number = b.calling_number or a.called_number = b.calling_number""",
         "cdr_suspect_traffic": SUSPECT_TRAFFIC,
+        "cdr_suspect_traffic_measured": SUSPECT_TRAFFIC,
+        "cdr_suspect_traffic_shuffled": SUSPECT_TRAFFIC,
         "cdr_suspect_traffic_sql": SUSPECT_TRAFFIC,
         "safe_bigint": f"""select event_id, txt, {bigint("txt")} as number from (
   select event_id, case event_id % 13
@@ -145,6 +147,7 @@ from sessions a join heavy b on a.calling_number = b.calling_number or a.called_
         "calls_literal": f"with {CALLS} select * from calls",
         "call_history_by_phone": history('phone2, call_event, phone1_type, phone2_type, "callDuration", hours'),
         "call_history_by_phone_6": history('phone2, phone1_type, phone2_type, "callDuration", hours'),
+        "call_history_in_parts": f"with {CALLS} select * from calls",
         "call_history_json": f"""with {CALLS}
 select phone1, cast(0 as integer) as part, cast(to_json(list(c order by phone2 nulls first, call_event,
   phone1_type, phone2_type, "callDuration", hours)) as varchar) as calls
@@ -154,6 +157,7 @@ from calls c group by phone1""",
         "py_module_udf": f"""with {CALLS}
 select phone1, phone2, hours, cast(hours + phone2_type as bigint) as total from calls""",
         "py_grouped_score": f"with {CALLS} {SCORED}",
+        "py_grouped_score_in_parts": f"with {CALLS} {SCORED}",
         "take_n": f"with {CALLS} {SCORED} order by phone1 limit 5",
         "py_ndarray_reshape": """select vec_id, cast(j * 32 + i as integer) as pos,
   cast(embedding[i * 2 + j + 1] as double) as value
