@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from pathlib import Path
 
@@ -22,20 +21,14 @@ def duck(sf_dir: str | Path):
     return con
 
 
-def _key(value):
-    if isinstance(value, float) and not math.isnan(value):
-        return float(f"{value:.12g}")
-    return value
-
-
 def assert_same(df, con, sql: str) -> int:
     """Fails unless the two results are the same multiset; returns the number of rows."""
     names = sorted(df.columns)
     result = con.execute(f"select {', '.join(f'\"{n}\"' for n in names)} from ({sql})")
     sql_types = {c[0]: str(c[1]) for c in result.description}
     assert sql_types == {n: TYPES[t] for n, t in df.dtypes}
-    expected = Counter(tuple(map(_key, row)) for row in result.fetchall())
-    actual = Counter(tuple(map(_key, row)) for row in df.select(*names).collect())
+    expected = Counter(result.fetchall())
+    actual = Counter(map(tuple, df.select(*names).collect()))
     assert sum(actual.values()) == sum(expected.values())
     assert actual == expected
     return sum(actual.values())
