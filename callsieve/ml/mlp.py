@@ -61,7 +61,7 @@ class DistributedMLP(
     categoricalLabels = Param(Params._dummy(), "categoricalLabels", "one-hot labels", TypeConverters.toBoolean)
     localOptimizer = Param(Params._dummy(), "localOptimizer", "rule within a task", TypeConverters.toString)
     optimizer = Param(Params._dummy(), "optimizer", "rule for the averaged change", TypeConverters.toString)
-    verbosity = Param(Params._dummy(), "verbosity", "1 prints each round's losses", TypeConverters.toInt)
+    verbosity = Param(Params._dummy(), "verbosity", "1 prints each round's loss", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
@@ -145,7 +145,7 @@ class DistributedMLP(
                 weights = rule.step(weights, change)
                 history.append({"round": round_no + 1, "loss": blocks[TRAIN_LOSS][0]})
                 if self.getOrDefault(self.verbosity) > 0:
-                    print(history[-2:] if round_no else history)
+                    print(f"round {round_no + 1}: loss {blocks[TRAIN_LOSS][0]:.4f}")
         finally:
             rows.unpersist()
         model = DistributedMLPModel(weights, history)

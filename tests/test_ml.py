@@ -115,7 +115,8 @@ def test_log_loss_of_certain_answers(spark):
 
 def test_gradient_against_differences():
     layers, rng = [5, 7, 6, 3], np.random.default_rng(0)
-    flat = network.initial_weights(layers, 1).astype(np.float64) + 0.01 * rng.standard_normal(network.weight_count(layers))
+    flat = network.initial_weights(layers, 1).astype(np.float64)
+    flat += 0.01 * rng.standard_normal(network.weight_count(layers))
     x, y = rng.standard_normal((9, 5)), rng.integers(0, 3, 9)
 
     def loss(w, dropout=0.0):
@@ -214,7 +215,8 @@ def test_scoring_keeps_rows_columns_and_nulls(spark, vectors):
     model = Pipeline(stages=[DistributedMLP(layers=[64, 8, 4], epochs=1)]).fit(vectors)
     assert isinstance(model.stages[0], DistributedMLPModel)
     some = vectors.limit(5).withColumn(
-        "features", F.when(F.col("vec_id") != F.lit(vectors.limit(5).agg(F.max("vec_id")).first()[0]), F.col("features"))
+        "features",
+        F.when(F.col("vec_id") != vectors.limit(5).agg(F.max("vec_id")).first()[0], F.col("features")),
     )
     scored = model.transform(some)
     assert scored.columns == ["vec_id", "features", "label", "probability", "prediction"]
