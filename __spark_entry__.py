@@ -29,6 +29,12 @@ from callsieve.operators.groups import MAX_ROWS  # noqa: E402
 from callsieve.plans import image_classifier, suspect_traffic  # noqa: E402
 from callsieve.sources import derived, tables  # noqa: E402
 
+try:  # the training-data operators are an add-on: without their folder, everything else works
+    import corpus_pipeline
+    from callsieve.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+
 # Callers in `events` make about 67 calls each, so the usual minimum of 100 would leave no rows.
 RULES = calls.SuspectRules(min_calls=30)
 # Small enough that most phones in `events` are cut into parts, as very large keys are.
@@ -42,6 +48,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return _own_queries()
+    return _own_queries() | llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "cdr_scan": lambda s, d: calls.legs_of_day(_legs(s, d), RULES),
         "cdr_caller_filter": _caller_filter,
@@ -102,7 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql_checks.checks()
+    return sql_checks.checks() | (llm_queries.oracle_sql() if llm_queries else {})
 
 
 def _legs(spark: SparkSession, sf_dir: str) -> DataFrame:
