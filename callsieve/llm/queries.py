@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callsieve.llm import line_dedup, mixing
+from callsieve.llm import line_dedup, mixing, packing, quality, token_counts, token_shards
 from callsieve.llm.shared import read_documents
 
+TRAINING_KEY = 20_240_611
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_packing": op1_packing,
         "op3_line_dedup": op3_line_dedup,
+        "op5_quality_rules": op5_quality_rules,
+        "op6_token_counts": op6_token_counts,
         "op9_mixing": op9_mixing,
+        "op10_token_shards": op10_token_shards,
     }
 
 
@@ -21,12 +27,32 @@ def oracle_sql() -> dict[str, str]:
     return {"op3_line_dedup": LINE_DEDUP_SQL, "op9_mixing": MIXING_SQL}
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of all documents, with a digest of their ids in place of the ids."""
+    pieces = packing.cut(read_documents(spark, sf_dir))
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.packed(digests).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its source's boilerplate lines."""
     kept = line_dedup.without_boilerplate(read_documents(spark, sf_dir).select("doc_id", "source", "text"))
     return kept.select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures and the verdict for every document."""
+    return quality.judged(read_documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, and which are over the budget."""
+    counts = token_counts.token_counts(read_documents(spark, sf_dir), prefixes=False)
+    return counts.withColumn("over_limit", F.col("n_tokens") > token_counts.BUDGET)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix of all sources takes."""
     mix = mixing.mixed(read_documents(spark, sf_dir).select("doc_id", "source", "text"))
@@ -34,6 +60,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' sequences as the written shards hold them, with a digest of their ids."""
+    table = token_shards.training_shards(read_documents(spark, sf_dir), TRAINING_KEY)
+    slots = token_shards.read_slots(table)
+    return slots.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 LINE_DEDUP_SQL = r"""
 with lines as (
   select doc_id, source, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x)))) as line
