@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callsieve.llm import line_dedup, mixing, packing, quality, token_counts, token_shards
+from callsieve.llm import (
+    language,
+    line_dedup,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    token_counts,
+    token_shards,
+)
 from callsieve.llm.shared import read_documents
 
 TRAINING_KEY = 20_240_611
@@ -16,8 +25,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op3_line_dedup": op3_line_dedup,
+        "op4_neighbours": op4_neighbours,
         "op5_quality_rules": op5_quality_rules,
         "op6_token_counts": op6_token_counts,
+        "op7_language": op7_language,
         "op9_mixing": op9_mixing,
         "op10_token_shards": op10_token_shards,
     }
@@ -42,6 +53,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures and the verdict for every document."""
     return quality.judged(read_documents(spark, sf_dir).select("doc_id", "text")).drop("text")
@@ -53,6 +70,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > token_counts.BUDGET)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    return language.identified(read_documents(spark, sf_dir))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix of all sources takes."""
     mix = mixing.mixed(read_documents(spark, sf_dir).select("doc_id", "source", "text"))

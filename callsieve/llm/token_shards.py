@@ -165,7 +165,7 @@ def read_slots(table: DataFrame, first_slot: int = 0) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in SLOTS.split(", ")]
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 at = range(max(0, first_slot - row["first_slot"]), row["slots"])
                 wide, size = row["stride_bytes"], np.dtype(ID_TYPE).itemsize
                 yield pa.RecordBatch.from_arrays(
