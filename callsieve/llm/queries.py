@@ -10,6 +10,7 @@ from callsieve.llm import (
     language,
     line_dedup,
     mixing,
+    near_dedup,
     neighbours,
     packing,
     quality,
@@ -24,6 +25,7 @@ TRAINING_KEY = 20_240_611
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_near_dedup": op2_near_dedup,
         "op3_line_dedup": op3_line_dedup,
         "op4_neighbours": op4_neighbours,
         "op5_quality_rules": op5_quality_rules,
@@ -47,6 +49,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_dedup.near_duplicates(read_documents(spark, sf_dir))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its source's boilerplate lines."""
     kept = line_dedup.without_boilerplate(read_documents(spark, sf_dir).select("doc_id", "source", "text"))
