@@ -14,6 +14,7 @@ from callsieve.llm import (
     neighbours,
     packing,
     quality,
+    repeats,
     token_counts,
     token_shards,
 )
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_rules": op5_quality_rules,
         "op6_token_counts": op6_token_counts,
         "op7_language": op7_language,
+        "op8_repeats": op8_repeats,
         "op9_mixing": op9_mixing,
         "op10_token_shards": op10_token_shards,
     }
@@ -82,6 +84,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(read_documents(spark, sf_dir))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when passages of earlier documents go."""
+    return repeats.without_repeats(read_documents(spark, sf_dir)).drop("starts", "ends")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix of all sources takes."""
     mix = mixing.mixed(read_documents(spark, sf_dir).select("doc_id", "source", "text"))

@@ -46,7 +46,10 @@ def text_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int,
     Gives the index of a run's first text, the run's bytes, and where each text starts and the last one ends.
     Null texts are empty.
     """
-    texts = texts.fill_null("").cast(pa.large_string())
+    if texts.null_count:
+        texts = texts.fill_null("")
+    if not pa.types.is_large_binary(texts.type):
+        texts = texts.cast(pa.large_string())
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     first = 0
