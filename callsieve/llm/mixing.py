@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from callsieve.llm.shared import broadcast_if_small, fresh, word_count
+from callsieve.llm.shared import broadcast_if_small, fresh, named_as, plain_names, word_count
 from callsieve.operators.checkpoints import checkpointed
 
 WEIGHTS = (1, 2, 3)
@@ -97,8 +97,8 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_RE
 
 def emitted(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: every row of `docs` as often as it is taken, with the columns of `docs`."""
-    (copy,) = fresh(docs, "_copy")
-    taken = mixed(docs.withColumn(copy, F.struct(*[F.col(f"`{c}`") for c in docs.columns])), **settings)
-    rows = taken.filter(F.col("copies") > 0)
-    again = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return rows.select(copy, again.alias("n")).select(f"{copy}.*")
+    names = plain_names(docs, "doc_id", "source", "text")
+    taken = mixed(docs.toDF(*names), **settings).filter(F.col("copies") > 0)
+    (copy,) = fresh(taken, "_copy")
+    again = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(copy)
+    return named_as(taken.select(*names, again), names, docs)

@@ -42,6 +42,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return made
 
 
+def plain_names(df: DataFrame, *used: str) -> list[str]:
+    """Names for the columns of `df` that clash with nothing; only the `used` columns keep theirs."""
+    return [c if c in used else f"_column_{i}" for i, c in enumerate(df.columns)]
+
+
+def named_as(df: DataFrame, names: list[str], like: DataFrame) -> DataFrame:
+    """The columns `names` of `df`, called as in `like`."""
+    return df.select(*[F.col(n).alias(c) for n, c in zip(names, like.columns, strict=True)])
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

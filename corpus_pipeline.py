@@ -1,13 +1,58 @@
-"""A document corpus from raw text to packed sequences."""
+"""A document corpus from raw text to packed sequences.
+
+Each stage gets the rows that the one before it kept and returns what it decides: documents go, lose
+lines, or are repeated. All stages but the last return the columns of the documents they got.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from callsieve.llm import line_dedup, mixing, near_dedup, packing, quality
+from callsieve.llm.shared import named_as, plain_names, read_documents, stored
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep; a null text is rejected, as it has no words."""
+    names = plain_names(docs, "text")
+    return named_as(quality.judged(docs.toDF(*names)).filter("kept"), names, docs)
+
+
+def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without their source's boilerplate lines; `n_chars` follows the text."""
+    names = plain_names(docs, "source", "text", "n_chars")
+    cut = line_dedup.without_boilerplate(docs.toDF(*names))
+    if "n_chars" in names:
+        n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", n_chars)
+    return named_as(cut, names, docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return near_dedup.deduplicated(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.emitted(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The packed pieces, ids included."""
+    pieces = packing.cut(docs).withColumn("ids_crc32", F.crc32("ids"))
+    return packing.packed(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"
+    )
 
-from callsieve.llm import line_dedup, mixing
-from callsieve.llm.shared import read_documents, stored
 
-STAGES = []
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", boilerplate_lines),
+    ("near dedup", near_duplicates),
+    ("source mix", source_mix),
+    ("packing", packed_sequences),
+]
 # SQL expresses neither near-duplicate classes nor token ids; the tests hold a brute-force version.
 ORACLE_SQL = None
 
