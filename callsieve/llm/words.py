@@ -32,7 +32,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int, inverse: bool = False) -> np.ndarray:
     """The first n powers of the base (or of its inverse) modulo 2^64."""
     kind = "inverse" if inverse else "base"
-    if len(_powers.get(kind, ())) < n:
+    if kind not in _powers or len(_powers[kind]) < n:
         step = pow(_BASE, -1, 1 << 64) if inverse else _BASE
         factors = np.full(max(n, SLICE_BYTES + 1), step, np.uint64)
         factors[0] = 1
