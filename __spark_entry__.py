@@ -37,7 +37,7 @@ except ImportError:
 
 # Callers in `events` make about 67 calls each, so the usual minimum of 100 would leave no rows.
 RULES = calls.SuspectRules(min_calls=30)
-# Small enough that most phones in `events` are cut into parts, as very large keys are.
+# Small enough that most keys in `events` are cut into parts, as very large ones are.
 SMALL_PART = 25
 USER_FILE = str(ROOT / "examples" / "call_scores.py")
 
@@ -63,11 +63,11 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdr_heavy_callers": _heavy_callers,
         "either_endpoint_join": _either_endpoint_join,
         "cdr_suspect_traffic": lambda s, d: suspect_traffic.suspect_traffic(_legs(s, d), RULES),
-        "cdr_suspect_traffic_measured": lambda s, d: suspect_traffic.suspect_traffic(
-            _legs(s, d), RULES, small_bytes=0
+        "cdr_suspect_traffic_measured": lambda s, d: suspect_traffic.suspect_traffic_measured(
+            _legs(s, d), RULES
         ),
-        "cdr_suspect_traffic_shuffled": lambda s, d: suspect_traffic.suspect_traffic(
-            _legs(s, d), RULES, small_bytes=0, broadcast_bytes=0
+        "cdr_suspect_traffic_shuffled": lambda s, d: suspect_traffic.suspect_traffic_measured(
+            _legs(s, d), RULES, broadcast_bytes=0
         ),
         "cdr_suspect_traffic_sql": lambda s, d: suspect_traffic.suspect_traffic_sql(s, _legs(s, d), RULES),
         "safe_bigint": _safe_bigint,
@@ -83,6 +83,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "py_module_udf": _py_module_udf,
         "py_grouped_score": _py_grouped_score,
         "py_grouped_score_in_parts": lambda s, d: _py_grouped_score(s, d, SMALL_PART),
+        "py_grouped_score_large_keys": _large_key_scores,
         "py_ndarray_reshape": _py_ndarray_reshape,
         "take_n": lambda s, d: history.first_n(_py_grouped_score(s, d), 5, "phone1"),
         "array_reshape": _array_reshape,
@@ -203,17 +204,32 @@ def _regex_replace_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", text.replace_all(F.col("html")).alias("cleaned"))
 
 
-def _history_rows(spark: SparkSession, sf_dir: str, fields: tuple[str, ...]) -> DataFrame:
-    collected = history.collect_history(_calls(spark, sf_dir), "phone1", fields)
+def _history_rows(
+    spark: SparkSession, sf_dir: str, fields: tuple[str, ...], max_rows: int = MAX_ROWS
+) -> DataFrame:
+    collected = history.collect_history(_calls(spark, sf_dir), "phone1", fields, max_rows)
     return collected.select("phone1", "part", F.posexplode("calls").alias("pos", "call")).select(
         "phone1", "part", "pos", *[f"call.{f}" for f in fields if f != "phone1"]
     )
 
 
 def _history_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The calls of all parts; which part a call is in depends on a hash SQL does not have."""
-    parts = history.collect_history(_calls(spark, sf_dir), max_rows=SMALL_PART)
-    return parts.select(F.inline("calls"))
+    return _history_rows(spark, sf_dir, history.CALL_FIELDS, SMALL_PART)
+
+
+def _large_key_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by a bigint key beyond what a double holds exactly, with NULL keys beside it."""
+    user = F.col("user_id")
+    key = F.when(user % 10 != 0, user + F.lit(2**53)).alias("big_id")
+    rows = tables.read_table(spark, sf_dir, "events").select(key, "event_id")
+    return history.score_by_key(
+        rows,
+        "big_id",
+        _user_module(spark).id_summary,
+        "big_id bigint, n bigint, last_event bigint",
+        [F.sum("n").alias("n"), F.max("last_event").alias("last_event")],
+        SMALL_PART,
+    )
 
 
 def _history_json(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove_checkpoints(spark: SparkSession) -> None:
+    """Delete this session's checkpoint files, once no result that was built on them is needed any more."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder is not None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """What all rows of `df` take as a broadcast hash table, at most; 0 for no rows. This computes `df`."""
     size = F.lit(ROW_OVERHEAD_BYTES)
@@ -36,8 +44,3 @@ def size_in_bytes(df: DataFrame) -> int:
         # A key column is held twice: in the key and in the row.
         size = size + 2 * F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
     return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, without running anything. Huge where it knows nothing."""
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()

@@ -6,7 +6,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from callsieve.operators.groups import MAX_ROWS, PART, bounded_parts
 from callsieve.shipping import ship_package
@@ -40,12 +43,12 @@ def collect_history(
 ) -> DataFrame:
     """`key`, `part` and the rows as a sorted array of structs.
 
-    A key with up to `max_rows` rows has one part, number 0; a larger one is spread over several,
-    so no array outgrows an executor. Together the parts hold every row.
+    Part p holds the rows p * max_rows to (p + 1) * max_rows - 1 of the key's sorted rows, so no array
+    outgrows an executor, and the parts in order are the history. Fields must have an order.
     """
     needed = rows.select(*dict.fromkeys([key, *fields]))
     return (
-        bounded_parts(needed, key, max_rows)
+        bounded_parts(needed, key, fields, max_rows)
         .groupBy(key, F.col(PART).alias("part"))
         .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
     )
@@ -59,39 +62,93 @@ def score_by_key(
     merge: Sequence[Column],
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Give each key's rows to a Python function and merge what it returns.
+    """Give each key's rows to a Python function in parts and merge what it returns.
 
-    `function` gets a key's rows as a DataFrame and returns rows of `partial_schema`, the key among
-    them. A key above `max_rows` is given in several parts, on several executors, so `merge` says
-    how parts combine: aggregates over the partial columns. Only partial rows are shuffled for it.
+    `function` gets up to `max_rows` of a key's rows as a DataFrame and returns rows of `partial_schema`, the
+    key among them. Parts are slices of the key's sorted rows, on several executors; `merge` says how
+    they combine: aggregates over the partial columns. Only partial rows are shuffled for it. A
+    function that needs all rows of a key at once belongs in `score_whole_keys`.
     """
-    ship_package(rows.sparkSession)
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = bounded_parts(rows, key, max_rows, tasks).sortWithinPartitions(key, PART)
+    grouped = bounded_parts(rows, key, None, max_rows, spread=True).sortWithinPartitions(key, PART)
+    return _scored(grouped, key, function, partial_schema).groupBy(key).agg(*merge)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def score_whole_keys(
+    rows: DataFrame,
+    key: str,
+    function: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: T.StructType | str,
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Give all of each key's rows at once to a Python function that cannot work on parts.
+
+    Raises ValueError before any of it is called if a key has more than `max_rows` rows.
+    """
+    longest = rows.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if longest > max_rows:
+        raise ValueError(f"a key has {longest} rows, over the limit of {max_rows}; score it in parts")
+    grouped = bounded_parts(rows, key, None, max_rows, spread=True).sortWithinPartitions(key, PART)
+    return _scored(grouped, key, function, schema)
+
+
+def _scored(
+    grouped: DataFrame, key: str, function: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str
+) -> DataFrame:
+    """What `function` returns for every (key, part), from rows sorted by them.
+
+    Groups are found on the Arrow columns, where NULL is no number, and each is turned to pandas on its
+    own: what a function sees of its group does not depend on the groups beside it.
+    """
+    spark = grouped.sparkSession
+    ship_package(spark)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    made = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow_schema = to_arrow_schema(made)
+
+    def called(table: pa.Table) -> pa.Table:
+        frame = table.drop_columns([PART]).to_pandas(date_as_object=True)
+        for name, kind in frame.dtypes.items():
+            if isinstance(kind, pd.DatetimeTZDtype):
+                frame[name] = frame[name].dt.tz_convert(zone).dt.tz_localize(None)
+        result = function(frame)[made.names]
+        for name, kind in result.dtypes.items():
+            if kind.kind == "M" and arrow_schema.field(name).type == pa.timestamp("us", "UTC"):
+                result = result.assign(**{name: result[name].dt.tz_localize(zone)})
+        return pa.Table.from_pandas(result, arrow_schema, preserve_index=False)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted, so a group ends where the key or the part changes; the last group of
-        # a batch may go on in the next one. Many groups per batch cost far less than one call each.
+        # a batch may go on in the next one.
         rest = None
         for batch in batches:
-            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            ends = np.flatnonzero(_changes(batch[key]) | _changes(batch[PART])) + 1
-            starts = [0, *ends]
-            calls = batch.drop(columns=PART)
-            scores = [function(calls.iloc[a:b]) for a, b in zip(starts, ends)]
-            if scores:
-                yield pd.concat(scores, ignore_index=True)
-            rest = batch.iloc[starts[-1] :]
-        if rest is not None and len(rest):
-            yield function(rest.drop(columns=PART))
-
-    return grouped.mapInPandas(score, partial_schema).groupBy(key).agg(*merge)
-
-
-def _changes(values: pd.Series) -> np.ndarray:
-    """Whether each value but the first differs from the one before, NULLs being equal."""
-    v, missing = values.to_numpy(), values.isna().to_numpy()
-    return (v[1:] != v[:-1]) & ~(missing[1:] & missing[:-1])
+            table = pa.Table.from_batches([batch])
+            table = (table if rest is None else pa.concat_tables([rest, table])).combine_chunks()
+            ends = np.flatnonzero(_changes(table[key]) | _changes(table[PART])) + 1
+            starts = [0, *ends.tolist()]
+            if len(ends):
+                done = [called(table.slice(a, b - a)) for a, b in zip(starts, ends.tolist())]
+                yield from pa.concat_tables(done).combine_chunks().to_batches()
+            rest = table.slice(starts[-1])
+        if rest is not None and rest.num_rows:
+            yield from called(rest).to_batches()
+
+    return grouped.mapInArrow(score, made)
+
+
+def _changes(column: pa.ChunkedArray) -> np.ndarray:
+    """Whether each value but the first differs from the one before; NULL equals NULL, and NaN NaN."""
+    values = column.combine_chunks()
+    left, right = values.slice(0, len(values) - 1), values.slice(1)
+    if not len(right):
+        return np.zeros(0, bool)
+    if pa.types.is_nested(values.type):
+        items = values.to_pylist()
+        return np.array([a != b for a, b in zip(items, items[1:])], bool)
+    same = pc.equal(left, right)
+    if pa.types.is_floating(values.type):
+        same = pc.or_(same, pc.and_(pc.is_nan(left), pc.is_nan(right)))
+    same = pc.if_else(pc.is_null(left), pc.is_null(right), pc.fill_null(same, False))
+    return ~np.asarray(same)
 
 
 def first_n(rows: DataFrame, n: int, *order: str) -> DataFrame:

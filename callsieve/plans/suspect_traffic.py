@@ -14,32 +14,36 @@ from callsieve.operators.calls import (
     session_measures,
     session_rollup,
 )
-from callsieve.operators.checkpoints import BROADCAST_BYTES, checkpointed, estimated_bytes, size_in_bytes
+from callsieve.operators.checkpoints import BROADCAST_BYTES, checkpointed, size_in_bytes
 from callsieve.operators.endpoint_join import either_endpoint_join
 
 ENDS = ("calling_number", "called_number")
-SMALL_BYTES = 1024**3
 
 
-def suspect_traffic(
-    legs: DataFrame,
-    rules: SuspectRules = SuspectRules(),
-    small_bytes: int = SMALL_BYTES,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def suspect_traffic(legs: DataFrame, rules: SuspectRules = SuspectRules()) -> DataFrame:
     """Sessions of the day with a heavy caller as caller or callee, once per heavy end.
 
-    On small input this is one job: roll-up, heavy callers, and a join that adaptive execution
-    chooses. Otherwise the heavy callers are computed first and measured. If they fit, they are
-    broadcast and drop the other legs before the roll-up's shuffle; if not, the sessions are rolled
-    up first and meet them in a shuffled join, whose skewed keys adaptive execution splits.
+    One lazy plan for every size: roll-up, heavy callers, and an equi-join on each session's ends, which
+    adaptive execution broadcasts or shuffles, splitting skewed keys.
     """
     today = legs_of_day(legs, rules)
     heavy = heavy_callers(today, rules).select("calling_number")
-    if estimated_bytes(today) > small_bytes:
-        heavy = checkpointed(heavy)
-        if size_in_bytes(heavy) <= broadcast_bytes:
-            return _filter_then_roll_up(today, heavy)
+    return either_endpoint_join(session_rollup(today), heavy, ENDS, "calling_number")
+
+
+def suspect_traffic_measured(
+    legs: DataFrame, rules: SuspectRules = SuspectRules(), broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The same result, with the heavy callers computed and measured at once.
+
+    If they fit `broadcast_bytes`, they drop the other legs before the roll-up's shuffle, which pays where
+    few sessions are suspect; if not, the sessions are rolled up first. Runs jobs when called, and
+    needs a checkpoint folder (`spark.checkpoint.dir`).
+    """
+    today = legs_of_day(legs, rules)
+    heavy = checkpointed(heavy_callers(today, rules).select("calling_number"))
+    if size_in_bytes(heavy) <= broadcast_bytes:
+        return _filter_then_roll_up(today, heavy)
     return either_endpoint_join(session_rollup(today), heavy, ENDS, "calling_number")
 
 

@@ -22,6 +22,13 @@ def call_summary(calls: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def id_summary(events: pd.DataFrame) -> pd.DataFrame:
+    """One row for one id's events, also where the id is missing."""
+    return pd.DataFrame(
+        {"big_id": events["big_id"].iloc[:1].to_numpy(), "n": len(events), "last_event": events["event_id"].max()}
+    )
+
+
 def transposed(matrices: np.ndarray) -> np.ndarray:
     """Each matrix of a batch transposed, as one flat row."""
     return matrices.transpose(0, 2, 1).reshape(len(matrices), -1)

@@ -102,12 +102,11 @@ SCORED = """select phone1, count(*) as calls, cast(sum(cast("callDuration" as bi
 from calls group by phone1"""
 
 
-def history(fields: str) -> str:
+def history(fields: str, size: int = 100_000) -> str:
     order = ", ".join(f"{f} nulls first" for f in fields.split(", "))
     return f"""with {CALLS}
-select phone1, cast(0 as integer) as part,
-  cast(row_number() over (partition by phone1 order by {order}) - 1 as integer) as pos, {fields}
-from calls"""
+select phone1, cast(place // {size} as integer) as part, cast(place % {size} as integer) as pos, {fields}
+from (select *, row_number() over (partition by phone1 order by {order}) - 1 as place from calls)"""
 
 
 def positions(array: str, columns: str = "vec_id", width: int = 64) -> str:
@@ -147,7 +146,9 @@ from sessions a join heavy b on a.calling_number = b.calling_number or a.called_
         "calls_literal": f"with {CALLS} select * from calls",
         "call_history_by_phone": history('phone2, call_event, phone1_type, phone2_type, "callDuration", hours'),
         "call_history_by_phone_6": history('phone2, phone1_type, phone2_type, "callDuration", hours'),
-        "call_history_in_parts": f"with {CALLS} select * from calls",
+        "call_history_in_parts": history(
+            'phone2, call_event, phone1_type, phone2_type, "callDuration", hours', 25
+        ),
         "call_history_json": f"""with {CALLS}
 select phone1, cast(0 as integer) as part, cast(to_json(list(c order by phone2 nulls first, call_event,
   phone1_type, phone2_type, "callDuration", hours)) as varchar) as calls
@@ -158,6 +159,9 @@ from calls c group by phone1""",
 select phone1, phone2, hours, cast(hours + phone2_type as bigint) as total from calls""",
         "py_grouped_score": f"with {CALLS} {SCORED}",
         "py_grouped_score_in_parts": f"with {CALLS} {SCORED}",
+        "py_grouped_score_large_keys": """select big_id, count(*) as n, max(event_id) as last_event
+from (select case when user_id % 10 <> 0 then user_id + 9007199254740992 end as big_id, event_id from events)
+group by big_id""",
         "take_n": f"with {CALLS} {SCORED} order by phone1 limit 5",
         "py_ndarray_reshape": """select vec_id, cast(j * 32 + i as integer) as pos,
   cast(embedding[i * 2 + j + 1] as double) as value

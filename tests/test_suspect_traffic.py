@@ -16,8 +16,7 @@ from callsieve.operators.calls import (
     session_rollup,
 )
 from callsieve.operators.endpoint_join import either_endpoint_join
-from callsieve.operators.checkpoints import estimated_bytes
-from callsieve.plans.suspect_traffic import SMALL_BYTES, suspect_traffic, suspect_traffic_sql
+from callsieve.plans.suspect_traffic import suspect_traffic, suspect_traffic_measured, suspect_traffic_sql
 from callsieve.sources.derived import call_legs
 from callsieve.sources.tables import LEG_SCHEMA, read_table, rows_to_frame
 from conftest import TESTDATA
@@ -156,8 +155,8 @@ def test_all_ways_give_the_known_totals(spark, events_legs):
     rules = SuspectRules(min_calls=30)
     known = (3813, 5759076191109, 756021, 5702, 150, 274)
     assert totals(suspect_traffic(events_legs, rules)) == known
-    assert totals(suspect_traffic(events_legs, rules, small_bytes=0)) == known
-    assert totals(suspect_traffic(events_legs, rules, small_bytes=0, broadcast_bytes=0)) == known
+    assert totals(suspect_traffic_measured(events_legs, rules)) == known
+    assert totals(suspect_traffic_measured(events_legs, rules, broadcast_bytes=0)) == known
     assert totals(suspect_traffic_sql(spark, events_legs, rules)) == known
 
 
@@ -192,8 +191,8 @@ def test_random_legs_against_the_or_join(spark, rules):
     sessions = [(r["calling_number"], r["called_number"], *r) for r in session_rollup(today).collect()]
     expected = Counter({row[2:]: n for row, n in or_join(sessions, heavy).items()})
     assert Counter(map(tuple, suspect_traffic(frame, rules).collect())) == expected
-    assert Counter(map(tuple, suspect_traffic(frame, rules, small_bytes=0).collect())) == expected
-    assert Counter(map(tuple, suspect_traffic(frame, rules, small_bytes=0, broadcast_bytes=0).collect())) == expected
+    assert Counter(map(tuple, suspect_traffic_measured(frame, rules).collect())) == expected
+    assert Counter(map(tuple, suspect_traffic_measured(frame, rules, broadcast_bytes=0).collect())) == expected
     assert Counter(map(tuple, suspect_traffic_sql(spark, frame, rules).collect())) == expected
 
 
@@ -201,7 +200,7 @@ def test_plan_on_a_partitioned_catalog_table(spark, events_legs):
     events_legs.write.partitionBy("_add_day").saveAsTable("call_legs_by_day")
     table, rules = spark.table("call_legs_by_day"), SuspectRules(min_calls=30)
 
-    measured = suspect_traffic(table, rules, small_bytes=0)
+    measured = suspect_traffic_measured(table, rules)
     fits = plan(measured)
     assert "NestedLoop" not in fits and "CartesianProduct" not in fits
     assert fits.count("BroadcastHashJoin") == 2 and fits.count("Exchange hashpartitioning") == 1
@@ -209,7 +208,7 @@ def test_plan_on_a_partitioned_catalog_table(spark, events_legs):
     assert "StringStartsWith(dest_ne_ip,10.14)" in fits
     assert "mathch_fraud_pattern" not in fits and "mathch_white_pattern" not in fits
 
-    for other in (suspect_traffic(table, rules), suspect_traffic(table, rules, small_bytes=0, broadcast_bytes=0)):
+    for other in (suspect_traffic(table, rules), suspect_traffic_measured(table, rules, broadcast_bytes=0)):
         assert "NestedLoop" not in plan(other) and "CartesianProduct" not in plan(other)
 
     callers = plan(heavy_callers(legs_of_day(table, rules), rules))
@@ -218,13 +217,6 @@ def test_plan_on_a_partitioned_catalog_table(spark, events_legs):
     assert totals(measured)[0] == 3813
 
 
-def test_size_estimate_decides_how_to_start(spark, tmp_path):
-    small = spark.range(10)
-    small.write.parquet(str(tmp_path / "small"))
-    assert estimated_bytes(spark.read.parquet(str(tmp_path / "small"))) < SMALL_BYTES
-    assert estimated_bytes(small.select(F.monotonically_increasing_id()).rdd.toDF()) > SMALL_BYTES
-
-
 def test_skewed_caller_is_split_when_the_join_is_shuffled(spark):
     """One caller with most of the sessions: adaptive execution must be able to split the join."""
     settings = {
@@ -248,7 +240,7 @@ def test_skewed_caller_is_split_when_the_join_is_shuffled(spark):
                 for name in LEG_SCHEMA.names
             ]
         )
-        found = suspect_traffic(frame, SuspectRules(min_calls=1), small_bytes=0, broadcast_bytes=0)
+        found = suspect_traffic_measured(frame, SuspectRules(min_calls=1), broadcast_bytes=0)
         assert len(found.collect()) == 60000
         assert "SortMergeJoin(skew=true)" in plan(found)
     finally:
