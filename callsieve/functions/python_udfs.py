@@ -42,6 +42,13 @@ def register_function(
     spark.udf.register(name, batch_function(function, returns))
 
 
+def matrix_rows(matrix: np.ndarray, present: np.ndarray) -> pa.Array:
+    """Matrix rows as list entries, NULL where nothing is present."""
+    ends = np.concatenate([[0], np.cumsum(present)]).astype(np.int32) * matrix.shape[1]
+    offsets = pa.array(ends, pa.int32(), mask=np.append(~present, False))
+    return pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))
+
+
 def map_matrices(
     df: DataFrame,
     column: str,
@@ -64,11 +71,10 @@ def map_matrices(
             arrays = batch.column(column)
             fits = np.asarray(pa.compute.equal(arrays.value_lengths(), width).fill_null(False))
             stacked = arrays.filter(pa.array(fits)).flatten().to_numpy(zero_copy_only=False)
-            results = iter(function(stacked.astype(np.float32).reshape(-1, *shape)))
-            made = [next(results) if ok else None for ok in fits]
+            results = np.asarray(function(stacked.astype(np.float32).reshape(-1, *shape)), np.float32)
             kept = [batch.column(f.name) for f in schema.fields[:-1]]
             yield pa.RecordBatch.from_arrays(
-                kept + [pa.array(made, pa.list_(pa.float32()))], [f.name for f in schema.fields]
+                kept + [matrix_rows(results, fits)], [f.name for f in schema.fields]
             )
 
     return df.mapInArrow(run, schema)

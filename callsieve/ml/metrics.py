@@ -13,14 +13,22 @@ def confusion(scored: DataFrame, label: str = "label", prediction: str = "predic
 
 
 def share_right(label: str = "label", prediction: str = "prediction") -> Column:
-    """Accuracy. With one label per row, overall precision and overall recall both equal it."""
-    return F.avg((F.col(label) == F.col(prediction)).cast("double"))
+    """Accuracy. With one label per row, overall precision and overall recall both equal it.
+
+    A row without a prediction counts as wrong; a row without a label does not count.
+    """
+    right = F.coalesce((F.col(label) == F.col(prediction)).cast("double"), F.lit(0.0))
+    return F.avg(F.when(F.col(label).isNotNull(), right))
 
 
 def cross_entropy(label: str = "label", probability: str = "probability", floor: float = 1e-15) -> Column:
-    """Mean categorical cross-entropy of an array of class probabilities, kept within [floor, 1 - floor]."""
-    p = F.get(F.col(probability), F.col(label).cast("int"))
-    return F.avg(-F.ln(F.least(F.greatest(p, F.lit(floor)), F.lit(1 - floor))))
+    """Mean categorical cross-entropy of an array of class probabilities, kept within [floor, 1 - floor].
+
+    Without an array the probability is the floor; a row without a label does not count.
+    """
+    p = F.coalesce(F.get(F.col(probability), F.col(label).cast("int")), F.lit(floor))
+    loss = -F.ln(F.least(F.greatest(p, F.lit(floor)), F.lit(1 - floor)))
+    return F.avg(F.when(F.col(label).isNotNull(), loss))
 
 
 def micro_precision(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -38,9 +46,10 @@ def log_loss(scored: DataFrame, label: str = "label", probability: str = "probab
 def per_class(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Support, precision and recall of every class seen as a label or a prediction.
 
-    Precision is NULL for a class that is never predicted, recall for one that never occurs.
+    Precision is NULL for a class that is never predicted, recall for one that never occurs. Rows without a
+    label do not count; one without a prediction is missing from its class's recall.
     """
-    cells = confusion(scored, label, prediction)
+    cells = confusion(scored.filter(F.col(label).isNotNull()), label, prediction)
     n, none = F.col("n"), F.lit(0).cast("bigint")
     right = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +16,20 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callsieve.functions.arrays import class_index
+from callsieve.functions.arrays import class_index, whole_number
+from callsieve.functions.python_udfs import matrix_rows
 from callsieve.ml import network
 from callsieve.ml.optimizers import OPTIMIZERS
 from callsieve.ml.split import content_point
@@ -25,7 +37,9 @@ from callsieve.shipping import ship_package
 
 BLOCK = 4096  # weights per row when tasks hand their change back
 TRAIN_LOSS, HELD_OUT = -1, -2  # block numbers of the figures that travel with the weights
-CHANGE_SCHEMA = "block int, n bigint, change array<double>"
+# Tasks whose changes are averaged together first; the averages of all groups come next.
+GROUPS = 64
+CHANGE_SCHEMA = "block int, task int, n bigint, change array<double>"
 
 
 class _NetworkParams(HasFeaturesCol, HasPredictionCol, HasProbabilityCol):
@@ -46,6 +60,8 @@ class DistributedMLP(
     partition with `localOptimizer`; Spark averages the tasks' changes by rows seen and
     `optimizer` applies the average: "plain" takes it as it is, "adadelta" and "adam" treat it
     as a gradient. Only the weights, whose number `layers` fixes, pass through the driver.
+    `localSettings` and `settings` hold the two rules' rates, decays and eps by name. Training starts from
+    `initialWeights`, if given: all layers' matrices and biases in one list.
 
     The label is a class index, or a one-hot array or vector if `categoricalLabels` is set.
     `numWorkers` 0 keeps the input's partitions. `validationSplit` keeps about that share of rows
@@ -61,6 +77,9 @@ class DistributedMLP(
     categoricalLabels = Param(Params._dummy(), "categoricalLabels", "one-hot labels", TypeConverters.toBoolean)
     localOptimizer = Param(Params._dummy(), "localOptimizer", "rule within a task", TypeConverters.toString)
     optimizer = Param(Params._dummy(), "optimizer", "rule for the averaged change", TypeConverters.toString)
+    localSettings = Param(Params._dummy(), "localSettings", "settings of localOptimizer")
+    settings = Param(Params._dummy(), "settings", "settings of optimizer")
+    initialWeights = Param(Params._dummy(), "initialWeights", "weights to start from", TypeConverters.toListFloat)
     verbosity = Param(Params._dummy(), "verbosity", "1 prints each round's loss", TypeConverters.toInt)
 
     @keyword_only
@@ -81,13 +100,16 @@ class DistributedMLP(
         categoricalLabels: bool = False,
         localOptimizer: str = "adam",
         optimizer: str = "adadelta",
+        localSettings: dict[str, float] | None = None,
+        settings: dict[str, float] | None = None,
+        initialWeights: list[float] | None = None,
         verbosity: int = 0,
         seed: int = 1,
     ):
         super().__init__()
         self._setDefault(
             epochs=1, batchSize=64, numWorkers=0, dropout=0.2, validationSplit=0.1, categoricalLabels=False,
-            localOptimizer="adam", optimizer="adadelta", verbosity=0, seed=1,
+            localOptimizer="adam", optimizer="adadelta", localSettings={}, settings={}, verbosity=0, seed=1,
         )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
@@ -100,6 +122,11 @@ class DistributedMLP(
         for param in (self.localOptimizer, self.optimizer):
             if self.getOrDefault(param) not in OPTIMIZERS:
                 raise ValueError(f"{param.name} must be one of {sorted(OPTIMIZERS)}")
+        self._rule(self.localOptimizer, self.localSettings)
+        self._rule(self.optimizer, self.settings)
+        if self.isSet(self.initialWeights):
+            if len(self.getOrDefault(self.initialWeights)) != network.weight_count(layers):
+                raise ValueError(f"initialWeights needs {network.weight_count(layers)} values for these layers")
         for param in (self.dropout, self.validationSplit):
             if not 0 <= self.getOrDefault(param) < 1:
                 raise ValueError(f"{param.name} must be in [0, 1)")
@@ -107,24 +134,37 @@ class DistributedMLP(
             if self.getOrDefault(param) < 1:
                 raise ValueError(f"{param.name} must be at least 1")
 
+    def _rule(self, name: Param, settings: Param):
+        """A new update rule; wrong names of settings are an error."""
+        try:
+            return OPTIMIZERS[self.getOrDefault(name)](**self.getOrDefault(settings))
+        except TypeError as e:
+            raise ValueError(f"{settings.name} does not fit {self.getOrDefault(name)}: {e}") from None
+
     def _training_rows(self, df: DataFrame) -> DataFrame:
         label = F.col(self.getLabelCol())
         if self.getOrDefault(self.categoricalLabels):
             label = class_index(_as_array(df, self.getLabelCol(), "float64"))
         rows = df.select(
-            _as_array(df, self.getFeaturesCol(), "float32").alias("features"), label.cast("int").alias("label")
+            _as_array(df, self.getFeaturesCol(), "float32").alias("features"), whole_number(label).alias("label")
         ).withColumn("held_out", content_point("features", "label") < self.getOrDefault(self.validationSplit))
         workers = self.getOrDefault(self.numWorkers)
-        return rows.repartition(workers) if workers > 0 else rows
+        rows = rows.repartition(workers) if workers > 0 else rows
+        # Sorted input would give batches of one class.
+        return rows.sortWithinPartitions(F.xxhash64(F.lit(self.getSeed()), "features", "label"))
 
     def _fit(self, df: DataFrame) -> DistributedMLPModel:
         self._check()
         ship_package(df.sparkSession)
         layers, seed = self.getLayers(), self.getSeed()
         weights = network.initial_weights(layers, seed)
-        rule = OPTIMIZERS[self.getOrDefault(self.optimizer)]()
+        if self.isSet(self.initialWeights):
+            weights = np.array(self.getOrDefault(self.initialWeights), np.float32)
+        rule = self._rule(self.optimizer, self.settings)
         sc = df.sparkSession.sparkContext
-        rows = self._training_rows(df).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = self._training_rows(df)
+        if self.getOrDefault(self.epochs) > 1 or self.getOrDefault(self.validationSplit) > 0:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         history = []
         try:
             for round_no in range(self.getOrDefault(self.epochs) + 1):
@@ -156,39 +196,64 @@ class DistributedMLP(
     ) -> dict[int, np.ndarray]:
         """One pass over the data: the average change per weight block, and the losses."""
         batch_size, dropout = self.getOrDefault(self.batchSize), self.getOrDefault(self.dropout)
-        local_rule = OPTIMIZERS[self.getOrDefault(self.localOptimizer)]
+        rule = self._rule(self.localOptimizer, self.localSettings)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rng = np.random.default_rng([*seeds, TaskContext.get().partitionId()])
-            yield from _changes(batches, sent.value, layers, local_rule(), batch_size, dropout, rng, train)
+            yield from _changes(batches, sent.value, layers, copy(rule), batch_size, dropout, rng, train)
 
-        # A task returns each block once, so there is nothing to combine before the shuffle, and the
-        # session's own partition count would leave most reducers empty.
-        means = (
+        # Tasks of one group first, then the groups: with very many tasks no reducer gets them all.
+        n, block = F.col("n").cast("double"), F.col("block")
+        groups = (
             rows.mapInArrow(run, CHANGE_SCHEMA)
-            .repartition(_block_count(layers), "block")
-            .groupBy("block")
-            .agg(Summarizer.mean(array_to_vector("change"), F.col("n").cast("double")).alias("mean"))
+            .groupBy("block", F.pmod("task", F.lit(GROUPS)).alias("tasks"))
+            .agg(Summarizer.mean(array_to_vector("change"), n).alias("change"), F.sum("n").alias("n"))
         )
+        means = groups.groupBy(block).agg(Summarizer.mean(F.col("change"), n).alias("mean"))
         return {r["block"]: r["mean"].toArray() for r in means.collect()}
 
 
-class DistributedMLPModel(Model, _NetworkParams):
-    """The trained network. `history` has each round's losses; `probability` is an array of doubles."""
+class DistributedMLPModel(Model, _NetworkParams, MLReadable, MLWritable):
+    """The trained network. `history` has each round's losses; `probability` is an array of doubles.
+
+    Rows without features, or with a NULL or non-finite value among them, get NULL.
+    """
 
     def __init__(self, weights: np.ndarray | None = None, history: list[dict] | None = None):
         super().__init__()
         self.weights = weights
         self.history = history or []
+        self._sent: tuple[str, Broadcast] | None = None
+
+    def write(self) -> MLWriter:
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _ModelReader()
+
+    def _broadcast(self, sc) -> Broadcast:
+        """The weights on the executors, sent once per application and not once per `transform`."""
+        if self._sent is None or self._sent[0] != sc.applicationId:
+            self._sent = sc.applicationId, sc.broadcast(self.weights)
+        return self._sent[1]
+
+    def copy(self, extra=None) -> DistributedMLPModel:
+        made = super().copy(extra)
+        made._sent = None
+        return made
 
     def _transform(self, df: DataFrame) -> DataFrame:
         ship_package(df.sparkSession)
-        sent, layers = df.sparkSession.sparkContext.broadcast(self.weights), self.getLayers()
+        sent, layers = self._broadcast(df.sparkSession.sparkContext), self.getLayers()
 
         def score(features: pa.Array) -> pa.Array:
             present, x = _matrix(features, layers[0])
+            finite = np.isfinite(x).all(axis=1)
+            present[np.flatnonzero(present)[~finite]] = False
+            x = x[finite]
             found = network.probabilities(sent.value, layers, x).astype(np.float64)
-            return _list_array(found, present)
+            return matrix_rows(found, present)
 
         probability = F.arrow_udf(score, "array<double>")
         return df.withColumn(
@@ -196,6 +261,32 @@ class DistributedMLPModel(Model, _NetworkParams):
         ).withColumn(self.getPredictionCol(), class_index(F.col(self.getProbabilityCol())))
 
 
+class _ModelWriter(MLWriter):
+    """Params as metadata, weights and history as two small tables beside it."""
+
+    def __init__(self, model: DistributedMLPModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        weights = [(i, float(w)) for i, w in enumerate(self.model.weights)]
+        self.sparkSession.createDataFrame(weights, "place int, weight float").write.parquet(f"{path}/weights")
+        history = [(json.dumps(self.model.history),)]
+        self.sparkSession.createDataFrame(history, "history string").write.parquet(f"{path}/history")
+
+
+class _ModelReader(MLReader):
+    def load(self, path: str) -> DistributedMLPModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        weights = self.sparkSession.read.parquet(f"{path}/weights").orderBy("place").toArrow()["weight"]
+        history = self.sparkSession.read.parquet(f"{path}/history").first()[0]
+        model = DistributedMLPModel(weights.to_numpy().astype(np.float32), json.loads(history))
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
+
 def _block_count(layers: list[int]) -> int:
     return -(-network.weight_count(layers) // BLOCK)
 
@@ -210,20 +301,13 @@ def _matrix(arrays: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Which entries are present, and those as rows of a matrix."""
     if isinstance(arrays, pa.ChunkedArray):
         arrays = arrays.combine_chunks()
-    present = np.asarray(arrays.is_valid())
+    present = np.array(arrays.is_valid())
     values = arrays.flatten().to_numpy(zero_copy_only=False)
     if np.any(np.asarray(arrays.drop_null().value_lengths()) != width):
         raise ValueError(f"features must hold {width} values")
     return present, values.reshape(-1, width)
 
 
-def _list_array(matrix: np.ndarray, present: np.ndarray) -> pa.Array:
-    """Matrix rows as list entries, NULL where nothing is present."""
-    ends = np.concatenate([[0], np.cumsum(present)]).astype(np.int32) * matrix.shape[1]
-    offsets = pa.array(ends, pa.int32(), mask=np.append(~present, False))
-    return pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))
-
-
 def _changes(
     batches: Iterator[pa.RecordBatch],
     start: np.ndarray,
@@ -273,9 +357,10 @@ def _changes(
         rows.append((HELD_OUT, held, np.array([held_loss / held, held_right / held])))
     if rows:
         numbers, counts, changes = zip(*rows)
+        task = [TaskContext.get().partitionId()] * len(rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers, pa.int32()), pa.array(counts, pa.int64()), pa.array(changes, pa.list_(pa.float64()))],
-            ["block", "n", "change"],
+            [pa.array(numbers, pa.int32()), pa.array(task, pa.int32()), pa.array(counts, pa.int64()), pa.array(changes, pa.list_(pa.float64()))],
+            ["block", "task", "n", "change"],
         )
 
 
@@ -284,6 +369,8 @@ def _rows_of(batch: pa.RecordBatch, layers: list[int]) -> tuple[np.ndarray, np.n
     label = batch.column("label")
     if not present.all() or label.null_count:
         raise ValueError("training rows need features and a label")
+    if not np.isfinite(x).all():
+        raise ValueError("training features must be finite and not NULL")
     y = label.to_numpy().astype(np.int64)
     if len(y) and (y.min() < 0 or y.max() >= layers[-1]):
         raise ValueError(f"labels must be in 0..{layers[-1] - 1}")

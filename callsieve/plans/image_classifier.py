@@ -28,10 +28,10 @@ def train_and_score(
 
 
 def end_to_end(rows: DataFrame, estimator: DistributedMLP, id_column: str, test_fraction: float = 0.1) -> DataFrame:
-    """One row: test rows, overall precision and recall, and log loss."""
+    """One row: labelled test rows, overall precision and recall, and log loss."""
     scored = train_and_score(rows, estimator, id_column, test_fraction)
     return scored.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count("label").alias("n"),
         share_right().alias("precision"),
         share_right().alias("recall"),
         cross_entropy(probability=estimator.getProbabilityCol()).alias("log_loss"),

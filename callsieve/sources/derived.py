@@ -107,6 +107,16 @@ def rule_predictions(embeddings: DataFrame) -> DataFrame:
     )
 
 
+def gappy_predictions(embeddings: DataFrame) -> DataFrame:
+    """`rule_predictions` with some labels and some predictions missing."""
+    vec_id = F.col("vec_id")
+    return rule_predictions(embeddings).select(
+        "vec_id",
+        F.when(vec_id % 11 != 0, F.col("label")).alias("label"),
+        F.when(vec_id % 7 != 0, F.col("prediction")).alias("prediction"),
+    )
+
+
 def rule_probabilities(embeddings: DataFrame) -> DataFrame:
     """Labelled rows with a softmax over the first four values as class probabilities."""
     head = F.slice("embedding", 1, 4)

@@ -55,10 +55,18 @@ def test_matrix_functions(spark):
     assert [r["m"] for r in reshaped.collect()] == [[as_float[0:2], as_float[2:4], as_float[4:6]], None, None]
     assert reshaped.select(arrays.flatten_matrix(F.col("m"))).first()[0] == as_float
     hot = frame.select(arrays.one_hot(F.col("label"), 3).alias("h"))
-    assert [r["h"] for r in hot.collect()] == [[0.0, 0.0, 1.0], [1.0, 0.0, 0.0], [0.0, 0.0, 0.0]]
+    assert [r["h"] for r in hot.collect()] == [[0.0, 0.0, 1.0], [1.0, 0.0, 0.0], None]
     assert hot.select(arrays.class_index(F.col("h"))).first()[0] == 2.0
 
 
+def test_labels_and_their_arrays(spark):
+    frame = spark.createDataFrame([([0.0, 0.0],), (None,), ([0.2, 0.7],), ([-1.0, -0.5],)], "h array<double>")
+    assert [r[0] for r in frame.select(arrays.class_index(F.col("h"))).collect()] == [None, None, 1.0, None]
+    for wrong in (3, -1, 2.7, float("nan")):
+        with pytest.raises(Exception, match="labels must be in 0..2"):
+            spark.createDataFrame([(float(wrong),)], "l double").select(arrays.one_hot(F.col("l"), 3)).collect()
+
+
 def test_scale_is_32_bit_division(spark):
     pixels = list(range(256))
     frame = spark.createDataFrame([(pixels,)], "v array<int>")

@@ -1,11 +1,11 @@
 import pytest
 
 import __spark_entry__ as driver
+import sql_checks
 from compare import assert_same, duck
 from conftest import TESTDATA
 
 SF = TESTDATA / "sf0.001"
-ROWS_ONLY = {"ml_mlp_builtin", "ml_mlp_distributed", "ml_predict", "ml_end_to_end"}
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +14,12 @@ def con():
         yield connection
 
 
-def test_every_query_is_checked_or_known_to_be_beyond_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == ROWS_ONLY
+def test_every_query_of_the_library_is_checked():
+    assert set(driver._own_queries()) == set(sql_checks.checks())
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(sql_checks.checks()))
 def test_same_rows_as_sql(spark, con, name):
     assert assert_same(driver.queries()[name](spark, str(SF)), con, driver.oracle_sql()[name]) > 0
 
