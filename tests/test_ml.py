@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -264,3 +264,64 @@ def test_end_to_end(vectors):
     estimator = DistributedMLP(layers=[64, 32, 4], epochs=8, batchSize=8, optimizer="plain", validationSplit=0.0)
     found = end_to_end(vectors, estimator, "vec_id").first()
     assert found["n"] > 100 and found["precision"] == found["recall"] > 0.7 and 0 < found["log_loss"] < 0.8
+
+
+def one_layer(**settings):
+    return DistributedMLP(
+        layers=[64, 4], initialWeights=[0.0] * 260, batchSize=10**9, localOptimizer="plain", dropout=0.0,
+        validationSplit=0.0, **settings,
+    )
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 64])
+def test_the_averaged_change_does_not_depend_on_partitions(spark, partitions):
+    rows = labelled_vectors(read_table(spark, str(TESTDATA / "sf0.001"), "embeddings"))
+    found = one_layer(optimizer="plain").fit(rows.repartition(partitions)).weights
+    table = rows.toPandas()
+    x = np.c_[np.stack(table["features"]).astype(float), np.ones(len(table))]
+    wrong = 0.25 - np.eye(4)[table["label"].astype(int)]
+    assert np.allclose(found, -(x.T @ wrong / len(table)).ravel(), atol=1e-5)
+
+
+def test_settings_of_the_rules(spark):
+    rows = labelled_vectors(read_table(spark, str(TESTDATA / "sf0.001"), "embeddings"))
+    plain = one_layer(optimizer="plain").fit(rows).weights
+    half = one_layer(optimizer="plain", settings={"rate": 0.5}).fit(rows).weights
+    assert np.allclose(half, plain / 2, atol=1e-6)
+    for wrong in ({"rote": 1.0}, {"eps": 1.0}):
+        with pytest.raises(ValueError, match="settings does not fit plain"):
+            one_layer(optimizer="plain", settings=wrong).fit(rows)
+    with pytest.raises(ValueError, match="initialWeights"):
+        DistributedMLP(layers=[64, 4], initialWeights=[0.0]).fit(rows)
+
+
+def test_bad_features_and_labels_are_refused_in_training(spark):
+    for features, label in (([float("nan"), 1.0], 0.0), ([None, 1.0], 0.0), ([1.0, 2.0], 2.7), ([1.0, 2.0], None)):
+        frame = spark.createDataFrame([(features, label)], "features array<double>, label double")
+        with pytest.raises(Exception, match="finite|whole numbers|need features and a label"):
+            DistributedMLP(layers=[2, 2], validationSplit=0.0).fit(frame)
+
+
+def test_bad_features_score_null_and_models_are_saved(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [(0, [1.0, 0.0], 0.0), (1, [0.0, 1.0], 1.0)] * 20, "id int, features array<double>, label double"
+    )
+    model = Pipeline(stages=[DistributedMLP(layers=[2, 2], validationSplit=0.0, epochs=2)]).fit(frame)
+    odd = spark.createDataFrame(
+        [(1, [1.0, 2.0]), (2, [float("inf"), 2.0]), (3, [None, 1.0]), (4, None), (5, [0.5, 0.1])],
+        "id int, features array<double>",
+    )
+    found = model.transform(odd).orderBy("id").collect()
+    assert [r["prediction"] is None for r in found] == [False, True, True, True, False]
+    model.save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    assert again.transform(odd).orderBy("id").collect() == found
+    assert again.stages[0].history == model.stages[0].history and again.stages[0].getLayers() == [2, 2]
+
+
+def test_rows_without_prediction_count_as_wrong(spark):
+    rows = [(0.0, 0.0), (0.0, None), (1.0, 1.0), (None, 1.0)]
+    scored = spark.createDataFrame(rows, "label double, prediction double")
+    assert metrics.micro_recall(scored).first()[0] == pytest.approx(2 / 3)
+    weighted = metrics.weighted(metrics.per_class(scored)).first()
+    assert weighted["recall"] == pytest.approx(2 / 3) and weighted["precision"] == 1.0
