@@ -264,3 +264,12 @@ def test_duckdb_or_join_agrees(spark):
         spark.createDataFrame(keys, "k string"), ("a", "b"), "k",
     )
     assert Counter(map(tuple, joined.collect())) == Counter(expected)
+
+
+def test_clashing_columns_are_refused(spark):
+    fact = spark.createDataFrame([("a", "b", 1)], "x string, y string, n int")
+    keys = spark.createDataFrame([("a", 2)], "k string, n int")
+    with pytest.raises(ValueError, match="'n'"):
+        either_endpoint_join(fact, keys, ("x", "y"), "k", ["n"])
+    with pytest.raises(ValueError, match="_endpoint"):
+        either_endpoint_join(fact.withColumnRenamed("n", "_Endpoint"), keys, ("x", "y"), "k")
