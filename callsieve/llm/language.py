@@ -83,7 +83,7 @@ class Model:
 def margins(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     """For each text and bit, the mean log-odds of the text's n-grams."""
     out = np.zeros((len(texts), weights.shape[1]), np.float32)
-    for first, data, bounds in text_slices(lowered(texts), 1 << 19):
+    for first, data, bounds in text_slices(lowered(texts)):
         if not len(data):
             continue
         totals = np.zeros((len(data) + 1, weights.shape[1]))

@@ -26,11 +26,11 @@ from callsieve.shipping import ship_package
 LENGTH = 50
 GRAM = 26
 REACH = LENGTH - GRAM  # bytes beside the anchor that a string can start before it
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 BYTES_PER_PART = 16 << 20
 BLOCKS_PER_TASK = 4
 CHUNK = 1 << 19
-SUFFIXES_AT_ONCE = 200_000
+SUFFIXES_AT_ONCE = 100_000
 WIDTH = 80  # a suffix of a context, in whole 8-byte words
 UNKNOWN = 256  # the byte before a suffix that starts its context
 ALL = np.uint32((1 << (REACH + 1)) - 1)
