@@ -22,6 +22,7 @@ LEVELS = 5
 LEAST = 3
 NEIGHBOURS = 2
 SMALL_REGION = 24
+BLOCK_SETS = 512
 # Pairs whose signatures agree in under 0.54 of 100 places are not looked at: for a pair at the limit that
 # is almost five standard deviations off.
 LEAST_AGREEMENT = 0.54
@@ -196,68 +197,107 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
 
 
-def rest_of_regions(sets: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs that the sorted neighbours may have left out: within one region, in different components so far.
+def open_regions(sets: DataFrame, names: DataFrame) -> DataFrame:
+    """`region, members, set_key, n_shingles, component` of all sets in regions that hold several components so far.
 
-    A region is what shares `LEAST` values in a tree. A region in one component is done. Of a small one
-    all such pairs are taken. The sets of larger ones are compared by their rarest shingles, which is
-    exact: two sets at the limit share one of their first n - ceil(0.75 n) + 1 shingles in any common order.
+    A region is what shares `LEAST` values in a tree. A region in one component is done.
     """
     known = names.select(F.col("node").alias("set_key"), "component")
     named = sets.select("set_key", "n_shingles", "signature").join(known, "set_key", "left")
     rows = forest(named.withColumn("component", F.xxhash64(F.coalesce("component", "set_key"))), LEAST)
-    rows = rows.withColumn("region", F.xxhash64("tree", "path")).drop("tree", "path")
+    rows = rows.withColumn("region", F.xxhash64("tree", "path")).drop("tree", "path", "low")
     regions = rows.groupBy("region").agg(
         F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     mixed = stored(regions.filter(F.col("low") != F.col("high")).select("region", "members"))
-    open_rows = stored(rows.join(broadcast_if_small(mixed), "region"))
-    small = open_rows.filter(F.col("members") <= SMALL_REGION)
+    return stored(rows.join(broadcast_if_small(mixed), "region"))
+
+
+def pairs_of_small_regions(rows: DataFrame) -> DataFrame:
+    """All pairs `a, b` of a small open region that are in different components."""
+    small = rows.filter(F.col("members") <= SMALL_REGION)
     left = small.select(
         "region", F.col("set_key").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a")
     )
     right = left.toDF("region", "b", "n_b", "c_b")
     apart = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & sizes_fit("n_a", "n_b")
-    few = left.join(right, "region").filter(apart).select("a", "b")
-    large = open_rows.filter(F.col("members") > SMALL_REGION).select("set_key", "component").distinct()
-    large = stored(large)
+    return left.join(right, "region").filter(apart).select("a", "b").distinct()
+
+
+def links_of_large_regions(rows: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """Links `a, b` that join the components in large open regions, from comparing whole sets; None without such regions.
+
+    Regions with sets in common form a cluster. Its largest component needs no look inside; the sets outside it
+    are compared with all sets of the cluster, exactly, a block of sets against a block at a time. Of the links between
+    two blocks those that join components are given out, at most one per component.
+    """
+    large = rows.filter(F.col("members") > SMALL_REGION)
     if large.isEmpty():
-        return few.distinct()
-    return few.union(rare_pairs(large, texts_of(large.select("set_key"), sets, docs))).distinct()
+        return None
+    ends = large.select(F.unhex(F.hex("region")).alias("a"), F.col("set_key").alias("b"))
+    clusters = components(ends).toDF("set_key", "cluster")
+    members = stored(large.select("set_key", "component").distinct().join(clusters, "set_key"))
+    counts = members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("cluster").agg(
+        F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("outside"), F.max_by("component", "n").alias("main")
+    )
+    texts = texts_of(members.select("set_key"), sets, docs)
+    given = members.join(stored(sizes), "cluster").join(texts, "set_key")
 
+    def blocks(of: DataFrame, size: str, name: str) -> DataFrame:
+        number = F.ceil(F.col(size) / BLOCK_SETS)
+        block = F.pmod(F.xxhash64("set_key"), number).alias(name)
+        keys = of.groupBy("cluster", block, number.alias("blocks"))
+        return keys.agg(F.collect_list(F.struct("set_key", "component", "text")).alias(f"{name}_sets"))
 
-def rare_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of `members` (`set_key, component`) in different components that share one of their rarest shingles."""
+    every = blocks(given, "all", "right").drop("blocks")
+    outside = given.filter(F.col("component") != F.col("main"))
+    target = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("all") / BLOCK_SETS) - 1)).alias("right")
+    outside = blocks(outside, "outside", "left").join(sizes.select("cluster", "all"), "cluster").select("*", target)
+    pairs = outside.join(every, ["cluster", "right"]).repartition("cluster", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, shingles in enumerate(shingle_sets(batch.column(2))):
-                n = len(shingles)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([batch.column(0)[i].as_py()] * n, pa.binary()),
-                        pa.array([batch.column(1)[i].as_py()] * n, pa.int64()),
-                        pa.array(np.full(n, n)),
-                        pa.array(shingles.view(np.int64)),
-                    ],
-                    ["set_key", "component", "n", "shingle"],
-                )
-
-    rows = members.join(texts, "set_key").select("set_key", "component", "text")
-    rows = stored(rows.mapInArrow(run, "set_key binary, component long, n long, shingle long"))
-    # Shingles of one component alone join nothing; that leaves out most of a large group of copies.
-    often = rows.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("sets"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    ranked = rows.join(often, "shingle")
-    first = F.row_number().over(Window.partitionBy("set_key").orderBy("sets", "shingle"))
-    prefix = ranked.withColumn("place", first).filter(
-        (F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1) & (F.col("low") != F.col("high"))
-    )
-    left = prefix.select("shingle", F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = left.toDF("shingle", "b", "n_b", "c_b")
-    apart = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & sizes_fit("n_a", "n_b")
-    return left.join(right, "shingle").filter(apart).select("a", "b").distinct()
+            for i in range(batch.num_rows):
+                sides = []
+                for column in (0, 1):
+                    rows = batch.column(column)[i].values
+                    keys, own, texts = (rows.field(k) for k in range(3))
+                    sides.append((keys.to_pylist(), own.to_pylist(), list(shingle_sets(texts))))
+                found = list(joining_links(*sides))
+                a, b = zip(*found, strict=True) if found else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return pairs.select("left_sets", "right_sets").mapInArrow(run, "a binary, b binary")
+
+
+def joining_links(left: tuple, right: tuple) -> Iterator[tuple[bytes, bytes]]:
+    """Links between two blocks of (keys, components, shingle sets) that join components not yet joined here."""
+    keys, own, sets = right
+    distinct, which = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    names, component = np.unique(np.array(own), return_inverse=True)
+    marked = np.zeros(len(distinct) + 1, np.uint8)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    for key, name, shingles in zip(*left, strict=True):
+        at = np.minimum(np.searchsorted(distinct, shingles), len(distinct) - 1)
+        at = at[distinct[at] == shingles]
+        marked[at] = 1
+        common = np.add.reduceat(marked[which], starts, dtype=np.int64)
+        marked[at] = 0
+        linked = np.flatnonzero(100 * common >= PERCENT * (len(shingles) + sizes - common))
+        for c, first in zip(*np.unique(component[linked], return_index=True), strict=True):
+            x, y = root(name), root(int(names[c]))
+            if x != y:
+                parent[x] = y
+                yield key, keys[linked[first]]
 
 
 def texts_of(keys: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -313,10 +353,14 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = stored(links.union(confirmed(between(close, components(links)), texts)))
 
     names = components(links)
-    rest = stored(alike(rest_of_regions(sets, docs, names), sets))
+    rows = open_regions(sets, names)
+    rest = stored(alike(pairs_of_small_regions(rows), sets))
     if not rest.isEmpty():
         texts = texts_of(rest.select(F.col("a").alias("set_key")).union(rest.select("b")), sets, docs)
-        names = components(links.union(confirmed(rest, texts)))
+        links = stored(links.union(confirmed(rest, texts)))
+    more = links_of_large_regions(rows, sets, docs)
+    if more is not None or not rest.isEmpty():
+        names = components(links if more is None else links.union(more))
     every = sets.select("set_key", F.col("low.doc_id").alias("doc_id")).join(
         names.toDF("set_key", "component"), "set_key", "left"
     )
