@@ -74,9 +74,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of all documents, and which are over the budget."""
-    counts = token_counts.token_counts(read_documents(spark, sf_dir), prefixes=False)
-    return counts.withColumn("over_limit", F.col("n_tokens") > token_counts.BUDGET)
+    """Token counts of all documents, and which are over the budget, from the written table of prefix counts."""
+    return token_counts.over_limit(token_counts.counted_table(read_documents(spark, sf_dir)))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,9 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from callsieve.llm.shared import stored
 from callsieve.shipping import ship_package
 
 MODEL = "piece_bpe_32k.model"
@@ -19,6 +20,7 @@ BUDGET = 4096
 SPACE = "▁"  # how the library writes a space
 UNITS = re.compile("▁*[^▁\n]+|▁+|\n")
 CACHE_UNITS = 600_000
+CACHED_LENGTH = 64  # longer units hardly come again, and their counts would fill the memory
 OUT_BYTES = 8 << 20
 NORMAL = 1
 
@@ -163,7 +165,8 @@ class PrefixCounter:
         if len(self.units) > CACHE_UNITS:
             self.units.clear()
         counts = counts.astype(np.uint32)
-        self.units[text] = counts
+        if len(text) <= CACHED_LENGTH:
+            self.units[text] = counts
         return counts
 
     def space_alone(self, text: str) -> bool:
@@ -191,12 +194,14 @@ class PrefixCounter:
         """The token count of each prefix of `text`, by code points, from the first character on."""
         if not text:
             return np.zeros(0, np.uint32)
-        parts, before = [], 0
-        for piece in UNITS.findall(SPACE + text.replace(" ", SPACE)):
-            counts = self.unit(piece)
-            parts.append(counts + np.uint32(before))
-            before += int(counts[-1])
-        return np.concatenate(parts)[1:]  # without the space that the library puts in front
+        pieces = UNITS.findall(SPACE + text.replace(" ", SPACE))
+        known = {p: self.unit(p) for p in set(pieces)}
+        parts = list(map(known.__getitem__, pieces))
+        counts = np.concatenate(parts)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        own = counts[np.cumsum(lengths) - 1]
+        counts += np.repeat(np.cumsum(own, dtype=np.uint32) - own, lengths)
+        return counts[1:]  # without the space that the library puts in front
 
 
 @lru_cache(maxsize=2)
@@ -208,7 +213,7 @@ def token_counts(docs: DataFrame, model: str | None = None, prefixes: bool = Tru
     """`doc_id, n_bytes, n_tokens`, and with `prefixes` the token count of every prefix of the text.
 
     `prefix_tokens` holds one little-endian unsigned 32-bit number per code point; `tokens_within` and
-    `prefix_within` answer from it. A null text is an empty one with no tokens. Nothing is shuffled.
+    `prefix_within` answer from it, and `n_tokens` is its last one. A null text is an empty one with no tokens. Nothing is shuffled.
     Columns other than `doc_id` and `text` are not used.
     """
     ship_package(docs.sparkSession)
@@ -222,10 +227,12 @@ def token_counts(docs: DataFrame, model: str | None = None, prefixes: bool = Tru
             rows, size = [], 0
             for doc_id, value in zip(given.column(0).to_pylist(), given.column(1), strict=True):
                 text = value.as_py() or ""
-                row = (doc_id, len(text.encode()), counts.total(text))
                 if prefixes:
-                    row += (counts.prefixes(text).astype("<u4").tobytes(),)
-                    size += len(row[-1])
+                    made = counts.prefixes(text).astype("<u4").tobytes()
+                    row = (doc_id, len(text.encode()), tokens_within(made, len(text)), made)
+                    size += len(made)
+                else:
+                    row = (doc_id, len(text.encode()), counts.total(text))
                 rows.append(row)
                 if size > OUT_BYTES:
                     yield batch(rows)
@@ -240,6 +247,27 @@ def token_counts(docs: DataFrame, model: str | None = None, prefixes: bool = Tru
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def last_count(prefix_tokens: Column) -> Column:
+    """The last number of `prefix_tokens`, which is the whole text's token count; 0 for an empty text."""
+    last = F.hex(F.substring(prefix_tokens, -4, 4))
+    big_endian = F.concat(*[F.substring(last, at, 2) for at in (7, 5, 3, 1)])
+    return F.when(F.octet_length(prefix_tokens) > 0, F.conv(big_endian, 16, 10).cast("long")).otherwise(F.lit(0))
+
+
+def counted_table(docs: DataFrame, model: str | None = None) -> DataFrame:
+    """The rows of `token_counts` with their prefix counts, written once to the checkpoint folder and read again."""
+    return stored(token_counts(docs, model))
+
+
+def over_limit(table: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """`doc_id, n_bytes, n_tokens, over_limit` from the prefix counts in `table`.
+
+    A text is over the limit if its longest prefix is, which is `prefix_within` stopping short of its end.
+    """
+    n_tokens = last_count(F.col("prefix_tokens"))
+    return table.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > budget).alias("over_limit"))
+
+
 def tokens_within(prefix_tokens: bytes, characters: int) -> int:
     """How many tokens the first `characters` code points take."""
     return int(np.frombuffer(prefix_tokens, "<u4")[characters - 1]) if characters else 0

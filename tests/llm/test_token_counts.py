@@ -67,3 +67,26 @@ def test_odd_rows(documents):
         (0, 0, 0), (0, 0, 0), (0, 0, 0), (1, 1, 1)
     ]
     assert counts.token_counts(documents([])).count() == 0
+
+
+def test_query_writes_and_reads_the_count_of_every_prefix(spark, library, monkeypatch):
+    written = []
+    kept = counts.stored
+    monkeypatch.setattr(counts, "stored", lambda df: written.append(kept(df)) or written[-1])
+    found = {r["doc_id"]: r for r in queries.op6_token_counts(spark, str(TESTDATA / "sf0.001")).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet").collect()}
+    rows = written[0].collect()
+    assert len(rows) == len(found) == len(texts)
+    for r in rows:
+        text, made = texts[r["doc_id"]], r["prefix_tokens"]
+        assert len(made) == 4 * len(text)
+        for end in {0, len(text) // 3, len(text)}:
+            assert counts.tokens_within(made, end) == len(library.encode(text[:end]))
+        assert found[r["doc_id"]]["n_tokens"] == counts.tokens_within(made, len(text))
+        assert found[r["doc_id"]]["over_limit"] == (counts.prefix_within(made, counts.BUDGET) < len(text))
+
+
+def test_last_count_of_large_and_empty_arrays(spark):
+    rows = [(np.array(x, "<u4").tobytes(),) for x in ([], [5], [1, 258], [7, 3_000_000_000])]
+    table = spark.createDataFrame(rows, "prefix_tokens binary")
+    assert [r[0] for r in table.select(counts.last_count(table["prefix_tokens"])).collect()] == [0, 5, 258, 3_000_000_000]
