@@ -51,7 +51,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     if llm_queries is None:
         return _own_queries()
-    return _own_queries() | llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return _own_queries() | llm_queries.queries() | llm_queries.page_queries() | {"pipeline": corpus_pipeline.run}
 
 
 def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -13,6 +13,7 @@ from callsieve.llm import (
     near_dedup,
     neighbours,
     packing,
+    page_lines,
     quality,
     repeats,
     token_counts,
@@ -38,6 +39,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def page_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {"op3_page_lines": op3_page_lines}
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_line_dedup": LINE_DEDUP_SQL, "op9_mixing": MIXING_SQL}
 
@@ -62,6 +67,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+def op3_page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every web page without its host's boilerplate lines."""
+    return page_lines.without_site_lines(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every vector whose id is divisible by 50."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
