@@ -39,11 +39,20 @@ def letters_lut() -> np.ndarray:
 LUT = letters_lut()
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """A bucket for the three bytes that start at each byte; the last two of a slice have none of their own."""
+def grams(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A bucket for the three bytes that start at each byte, each text read as if two blanks followed it.
+
+    `bounds` are where the texts start and the last one ends.
+    """
     data = LUT[data].astype(np.uint32)
     padded = np.append(data, np.uint32([32, 32]))
-    code = (padded[:-2] << np.uint32(16)) | (padded[1:-1] << np.uint32(8)) | padded[2:]
+    second, third = padded[1:-1].copy(), padded[2:].copy()
+    for back, after in ((1, (second, third)), (2, (third,))):
+        at = bounds[1:] - back
+        at = at[at >= bounds[:-1]]
+        for following in after:
+            following[at] = 32
+    code = (data << np.uint32(16)) | (second << np.uint32(8)) | third
     return ((code * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64)
 
 
@@ -87,7 +96,7 @@ def margins(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
         if not len(data):
             continue
         totals = np.zeros((len(data) + 1, weights.shape[1]))
-        np.cumsum(weights[grams(data)], axis=0, out=totals[1:])
+        np.cumsum(weights[grams(data, bounds)], axis=0, out=totals[1:])
         long = np.diff(bounds) + PRIOR_GRAMS
         out[first : first + len(long)] = (totals[bounds[1:]] - totals[bounds[:-1]]) / long[:, None]
     return out
@@ -121,8 +130,8 @@ def fit(docs: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Model | None:
             langs = np.array(batch.column(0).to_pylist(), object)
             for lang in set(langs):
                 own = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                for _, data, _ in text_slices(lowered(batch.column(1).filter(pa.array(langs == lang)))):
-                    own += np.bincount(grams(data), minlength=BUCKETS)
+                for _, data, bounds in text_slices(lowered(batch.column(1).filter(pa.array(langs == lang)))):
+                    own += np.bincount(grams(data, bounds), minlength=BUCKETS)
         for lang, own in totals.items():
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays(

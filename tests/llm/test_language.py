@@ -52,3 +52,13 @@ def test_one_language_or_none(documents):
     assert [r["lang_pred"] for r in only if r["doc_id"] == 10] == ["und"]
     assert [r["lang_pred"] for r in language.identified(documents([(1, "a b")])).collect()] == ["und"]
     assert language.identified(documents([])).count() == 0
+
+
+def test_scores_do_not_depend_on_the_next_text():
+    import pyarrow as pa
+
+    weights = np.random.default_rng(1).normal(size=(language.BUCKETS, 3)).astype(np.float32)
+    texts = ["ab", "the", "é", "", "der und", "a", "zz"]
+    alone = np.concatenate([language.margins(pa.array([t]), weights) for t in texts])
+    assert np.allclose(language.margins(pa.array(texts), weights), alone, atol=1e-6)
+    assert np.allclose(language.margins(pa.array(texts[::-1]), weights)[::-1], alone, atol=1e-6)
