@@ -33,7 +33,9 @@ from callsieve.sources import derived, tables  # noqa: E402
 try:  # the training-data operators are an add-on: without their folder, everything else works
     import corpus_pipeline
     from callsieve.llm import queries as llm_queries
-except ImportError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "callsieve.llm", "callsieve.llm.queries"):
+        raise
     llm_queries = None
 
 # Callers in `events` make about 67 calls each, so the usual minimum of 100 would leave no rows.
