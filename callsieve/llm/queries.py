@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callsieve.llm import (
+    centroids,
+    checks,
     language,
     line_dedup,
     mixing,
@@ -36,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeats": op8_repeats,
         "op9_mixing": op9_mixing,
         "op10_token_shards": op10_token_shards,
+        "op13_centroids": op13_centroids,
     }
 
 
@@ -44,7 +47,12 @@ def page_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINE_DEDUP_SQL, "op9_mixing": MIXING_SQL}
+    return {
+        "op2_near_dedup": checks.near_classes(near_dedup.WORDS, near_dedup.PERCENT, kept=True),
+        "op3_line_dedup": LINE_DEDUP_SQL,
+        "op9_mixing": MIXING_SQL,
+        "op13_centroids": checks.centroids(),
+    }
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +120,11 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector, with its distance, and each cluster's figures."""
+    return centroids.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 LINE_DEDUP_SQL = r"""
 with lines as (
   select doc_id, source, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x)))) as line

@@ -1,0 +1,77 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from callsieve.llm import centroids
+
+SCHEMA = "vec_id long, embedding array<double>, CLUSTER string"
+
+
+def brute_force(rows, k=16, rounds=3):
+    kept = [
+        (i, [math.floor(64 * x) for x in v]) for i, v in rows
+        if i is not None and v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    first = sorted(kept, key=lambda r: hashlib.sha256(f"1:{r[0]}".encode()).hexdigest())[:k]
+    middle = [v for _, v in first]
+
+    def assigned():
+        for i, v in kept:
+            d, c = min((sum((a - b) ** 2 for a, b in zip(v, m)), c) for c, m in enumerate(middle))
+            yield i, v, c, d
+
+    for _ in range(rounds):
+        found = list(assigned())
+        for c in range(len(middle)):
+            own = [v for _, v, x, _ in found if x == c]
+            if own:
+                middle[c] = [sum(x) // len(own) for x in zip(*own)]
+    found = list(assigned())
+    whole = sum(d for *_, d in found)
+    digests = [hashlib.sha256(",".join(map(str, m)).encode()).hexdigest() for m in middle]
+    return sorted((i, c, d, sum(e for *_, x, e in found if x == c), whole, digests[c]) for i, _, c, d in found)
+
+
+def checked(spark, rows):
+    table = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
+    assert sorted(map(tuple, centroids.clustered(table).collect())) == brute_force(rows)
+
+
+def test_ties_repeated_rows_nulls_and_other_lengths(spark):
+    draw = random.Random(5)
+    rows = [(i, [draw.choice([-0.5, 0.0, 0.3]) if j < 4 else 0.01 for j in range(64)]) for i in range(150)]
+    rows += rows[3:6] + [(None, [0.1] * 64), (200, None), (201, []), (202, [1.0] * 63), (203, [None] + [1.0] * 63)]
+    rows += [(204, [math.nan] * 64), (205, [math.inf] + [0.0] * 63), (206, [1.0] * 65), (-7, [-1.0] * 64)]
+    checked(spark, rows)
+
+
+def test_fewer_vectors_than_centroids_and_none(spark):
+    checked(spark, [(i, [i / 7] * 64) for i in range(5)])
+    checked(spark, [])
+
+
+def test_large_components(spark):
+    draw = random.Random(6)
+    checked(spark, [(i, [draw.uniform(-2e5, 2e5) for _ in range(64)]) for i in range(60)])
+    with pytest.raises(Exception, match="of zero"):
+        centroids.clustered(spark.createDataFrame([(1, [1e9] * 64, "x")], SCHEMA))
+
+
+def test_coefficients_are_exact_and_come_back():
+    rows = np.random.default_rng(1).integers(-1000, 1000, (20, 64))
+    made = centroids.transformed(rows)
+    assert (centroids.restored(made) == rows).all()
+    assert ((made**2).sum(axis=1) == 64 * (rows**2).sum(axis=1)).all()
+    assert (made[:, 0] == rows.sum(axis=1)).all()
+
+
+def test_ruling_out_never_loses_the_nearest():
+    rng = np.random.default_rng(2)
+    rows, middle = rng.integers(-3, 3, (500, 64)), rng.integers(-3, 3, (16, 64))
+    middle[9] = middle[4]
+    own, distance = centroids.nearest(centroids.transformed(rows), centroids.transformed(middle))
+    whole = ((rows[:, None] - middle[None]) ** 2).sum(axis=2)
+    assert (own == whole.argmin(axis=1)).all() and (distance == whole.min(axis=1)).all()

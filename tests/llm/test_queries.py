@@ -16,7 +16,7 @@ def con():
 
 def test_all_operators_are_registered():
     names = [n.split("_")[0] for n in llm.queries()]
-    assert names == [f"op{n}" for n in range(1, 11)]
+    assert names == [f"op{n}" for n in range(1, 14)]
     assert set(llm.queries()) | {"pipeline"} <= set(driver.queries())
 
 
