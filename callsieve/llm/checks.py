@@ -68,3 +68,26 @@ select vec_id, cluster, distance, (sum(distance) over (partition by cluster))::b
   (sum(distance) over ())::bigint as inertia, sha256(array_to_string(c.v, ',')) as centroid_sha256
 from owned{rounds} join centroids{rounds} c using (cluster)
 """
+
+
+HARD_NEGATIVES = """with given as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as cells
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as materialized (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+    list_sum(list_transform(list_zip(a.cells, b.cells), lambda z: z[1] * z[2]))::bigint as score
+  from given a join given b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.positive_id,
+  (row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id))::integer as rank,
+  s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not s.same
+where 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+qualify rank <= 10
+"""

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from callsieve.llm import (
     centroids,
     checks,
+    hard_negatives,
     language,
     line_dedup,
     mixing,
     near_dedup,
     neighbours,
+    ngram_join,
     packing,
     page_lines,
     quality,
@@ -38,6 +40,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeats": op8_repeats,
         "op9_mixing": op9_mixing,
         "op10_token_shards": op10_token_shards,
+        "op11_ngram_join": op11_ngram_join,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_centroids": op13_centroids,
     }
 
@@ -51,6 +55,8 @@ def oracle_sql() -> dict[str, str]:
         "op2_near_dedup": checks.near_classes(near_dedup.WORDS, near_dedup.PERCENT, kept=True),
         "op3_line_dedup": LINE_DEDUP_SQL,
         "op9_mixing": MIXING_SQL,
+        "op11_ngram_join": checks.near_classes(ngram_join.WORDS, ngram_join.PERCENT, kept=False),
+        "op12_hard_negatives": checks.HARD_NEGATIVES,
         "op13_centroids": checks.centroids(),
     }
 
@@ -120,6 +126,18 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document under links between almost equal sets of three-word shingles."""
+    return ngram_join.joined(read_documents(spark, sf_dir))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector; every seventh vector's label is moved on by one."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster of every vector, with its distance, and each cluster's figures."""
     return centroids.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
