@@ -342,8 +342,16 @@ def joined(docs: DataFrame) -> DataFrame:
     links = stored(confirmed(pairs, fragments_of(ends, sets, docs)))
     names = components(links)
     more = links_of_large_cells(rows, names, sets, docs)
+    more = None if more is None else stored(more)
     if more is not None:
-        names = components(links.union(stored(more)))
+        # Only what the blocks add is joined anew, as links between the components so far.
+        named = names.toDF("end", "name")
+        renamed = more.join(named.toDF("a", "x"), "a", "left").join(named.toDF("b", "y"), "b", "left")
+        moves = components(renamed.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
+        every = names.union(more.select("a", "a").union(more.select("b", "b")).distinct().toDF("node", "component"))
+        every = every.groupBy("node").agg(F.min_by("component", F.col("component") == F.col("node")).alias("component"))
+        moved = every.join(moves.toDF("component", "new"), "component", "left")
+        names = moved.select("node", F.coalesce("new", "component").alias("component"))
     named = sets.select("sid", "set_key", F.col("low.doc_id").alias("doc_id")).join(
         names.toDF("sid", "component"), "sid", "left"
     )
