@@ -91,3 +91,51 @@ from positives p join scored s on s.anchor_id = p.anchor_id and not s.same
 where 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
 qualify rank <= 10
 """
+
+BLOCKS = (
+    "address|article|aside|blockquote|body|br|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|"
+    "header|hr|html|li|main|nav|ol|option|p|pre|section|summary|table|tbody|td|tfoot|th|thead|title|tr|ul"
+)
+PAGE_LINES = rf"""with cut as materialized (
+  select page_id, nullif(lower(regexp_extract(url,
+      '(?i)^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]]*\]|[^/?#:]+)', 1)), '') as host,
+    list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'),
+      '(?i)</?(?:{BLOCKS})\b[^>]*>', chr(10), 'g'), '<[a-zA-Z/!][^>]*>', '', 'g'), '[\r\n]+'),
+      lambda x: trim(x)), lambda x: x <> '') as lines
+  from pages
+), counted as materialized (
+  select host, line, count(*) as pages from (select host, unnest(list_distinct(lines)) as line from cut) group by host, line
+), totals as (
+  select host, count(*) as all_pages from cut group by host
+), shares as materialized (
+  select c.host, line, pages, all_pages from counted c join totals t on c.host is not distinct from t.host where pages >= 5
+), histogram as (
+  select pages * 100 // all_pages as p, count(*) as n from shares group by 1
+), sides as (
+  select p, sum(n) over (order by p) as below, sum(p * n) over (order by p) as sum_below, sum(n) over () as total,
+    sum(p * n) over () as weighted
+  from histogram
+), cuts as (
+  select p + 1 as at, pow(sum_below * total - weighted * below, 2) / (below * (total - below)) as gap
+  from sides where below < total
+), best as (
+  select greatest(2, least(10, coalesce((select arg_min(at, (-gap, at)) from cuts where gap > 0), 10))) as percent
+), often as (
+  select host, list(line) as gone from shares where pages * 100 >= all_pages * (select percent from best) group by host
+), everywhere as (
+  select coalesce(list(line), []) as common from (
+    select line from counted group by line
+    having sum(pages) >= 5 and count(*) * 2 > (select count(*) from totals)
+      and sum(pages) * 100 >= (select percent * (select count(*) from cut) from best)
+  )
+), kept as (
+  select page_id, c.host, lines, list_filter(lines,
+    lambda x: not list_contains(coalesce(o.gone, []), x) and not list_contains(e.common, x)) as kept
+  from cut c cross join everywhere e left join often o on c.host is not distinct from o.host
+)
+select page_id, host, coalesce(len(lines), 0)::bigint as n_lines,
+  (coalesce(len(lines), 0) - coalesce(len(kept), 0))::bigint as n_dropped,
+  case when lines is not null then coalesce(array_to_string(kept, chr(10)), '') end as text
+from kept
+"""

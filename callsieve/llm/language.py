@@ -8,12 +8,15 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from callsieve.llm.shared import broadcast_if_small, stored
 from callsieve.llm.words import text_slices
+from callsieve.operators.checkpoints import checkpointed
 from callsieve.shipping import ship_package
 
-MAX_TRAINING_DOCS = 20_000
+# Distinct texts of each language that a model is fitted on, at most; all of them if there are fewer.
+TEXTS_PER_LANGUAGE = 5_000
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -108,21 +111,34 @@ def losses(found: np.ndarray, model: Model) -> np.ndarray:
     return (model.trust[None, :, :] * np.logaddexp(0, -SHARPNESS * agree)).sum(axis=2)
 
 
-def fit(docs: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Model | None:
-    """A model from the texts and languages of about `max_docs` rows of `docs`, None if no row has both.
+def training_texts(docs: DataFrame, per_language: int) -> DataFrame:
+    """`lang, text` of up to `per_language` distinct texts of every language: those with the smallest hashes.
 
-    The rows are a sample by a hash of the text, so the model does not grow with the table. Tasks count
+    A first pass counts, roughly, each language's distinct texts; that gives each language's share of all hashes, with
+    some to spare. So a rare language is taken whole, copies count once, and what is kept is bounded for any table.
+    """
+    labelled = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text")
+    hash_ = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))
+    sizes = labelled.groupBy(F.col("lang").alias("own")).agg(F.approx_count_distinct(hash_).alias("n"))
+    wanted = per_language + 8 * per_language**0.5 + 16
+    share = F.least(F.lit(1.0), F.lit(wanted * 1.2) / F.col("n")) * float(1 << 62)
+    sizes = checkpointed(sizes.select("own", share.alias("below")))
+    near = labelled.withColumn("hash", hash_).join(broadcast_if_small(sizes), F.col("lang") == F.col("own"))
+    near = near.filter(F.col("hash") <= F.col("below")).groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    return stored(near.withColumn("place", place).filter(F.col("place") <= per_language).select("lang", "text"))
+
+
+def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> Model | None:
+    """A model from `per_language` texts at most of every language in `docs`, None if no row has a language and a text.
+
+    The texts are a sample by hash (`training_texts`), so the model does not grow with the table. Tasks count
     n-grams per language; the driver gets at most 65,536 sums per language. Each bit is a naive Bayes
     classifier between the languages on its two sides, all languages weighing the same. A second pass over
     the sample finds how often each bit is right for each language: that is its weight in decoding.
     """
     ship_package(docs.sparkSession)
-    labelled = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text")
-    n = labelled.count()
-    if not n:
-        return None
-    limit = min(1.0, max_docs / n)
-    sample = labelled.filter(F.abs(F.xxhash64("text") % 1_000_000) < F.lit(max(1, int(limit * 1_000_000))))
+    sample = training_texts(docs, per_language)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -215,7 +231,7 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select(ids, held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, PREDICTIONS)
 
 
-def identified(docs: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> DataFrame:
+def identified(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> DataFrame:
     """Learn from the documents that are not held out, then predict all of them."""
     known = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    return predicted(docs, fit(known, max_docs))
+    return predicted(docs, fit(known, per_language))

@@ -54,6 +54,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_near_dedup": checks.near_classes(near_dedup.WORDS, near_dedup.PERCENT, kept=True),
         "op3_line_dedup": LINE_DEDUP_SQL,
+        "op3_page_lines": checks.PAGE_LINES,
         "op9_mixing": MIXING_SQL,
         "op11_ngram_join": checks.near_classes(ngram_join.WORDS, ngram_join.PERCENT, kept=False),
         "op12_hard_negatives": checks.HARD_NEGATIVES,

@@ -62,3 +62,50 @@ def test_scores_do_not_depend_on_the_next_text():
     alone = np.concatenate([language.margins(pa.array([t]), weights) for t in texts])
     assert np.allclose(language.margins(pa.array(texts), weights), alone, atol=1e-6)
     assert np.allclose(language.margins(pa.array(texts[::-1]), weights)[::-1], alone, atol=1e-6)
+
+
+def test_copies_do_not_fill_the_sample(documents):
+    rows = [(i, "the and with some of them", None, "en") for i in range(400)]
+    found = language.identified(documents(rows), 20).collect()
+    assert {r["lang_pred"] for r in found} == {"en"}
+
+
+def test_rare_languages_are_learned(documents):
+    draw = np.random.default_rng(2)
+    word = lambda letters: "".join(draw.choice(list(letters), 5))
+    rows = [(i, " ".join(word("aehimnorst") for _ in range(12)), None, "en") for i in range(4000)]
+    rows += [(4000 + i, " ".join(word("аеиностр") for _ in range(12)), None, "ru") for i in range(12)]
+    docs = documents(rows)
+    sample = language.training_texts(docs, 200).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in sample} == {"en": 200, "ru": 12}
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identified(docs, 200).collect()}
+    assert all(found[4000 + i] == "ru" for i in range(12)) and sum(found[i] == "en" for i in range(4000)) > 3990
+
+
+def test_decoding_against_plain_python():
+    """Loss-weighted decoding, bit by bit and language by language."""
+    import math
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    names = ["aa", "bb", "cc", "dd", "ee"]
+    code = language.codewords(5)
+    trust = draw.random(code.shape)
+    model = language.Model(names, code, draw.normal(size=(language.BUCKETS, code.shape[1])).astype(np.float32), trust)
+    texts = ["some words of a text", "ein anderer Text", "été", "12", "", None, "x", "longer " * 50]
+    langs, scores, _ = language.decoded(pa.array(texts), model)
+    for text, lang, score in zip(texts, langs, scores):
+        if not text or not any(c.isalpha() for c in text):
+            assert (lang, score) == ("und", 0)
+            continue
+        data = np.frombuffer(text.lower().encode(), np.uint8)
+        sums = [0.0] * code.shape[1]
+        for at in language.grams(data, np.array([0, len(data)])):
+            sums = [s + float(w) for s, w in zip(sums, model.weights[at])]
+        found = [s / (len(data) + language.PRIOR_GRAMS) for s in sums]
+        loss = [
+            sum(t * math.log1p(math.exp(-language.SHARPNESS * c * f)) for t, c, f in zip(trust[k], code[k].tolist(), found))
+            for k in range(5)
+        ]
+        assert lang == names[loss.index(min(loss))]
+        assert score == pytest.approx(1 / sum(math.exp(-language.CONTRAST * (x - min(loss))) for x in loss), rel=1e-3)

@@ -22,4 +22,4 @@ def test_all_operators_are_registered():
 
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
 def test_same_rows_as_sql(spark, con, name):
-    assert assert_same(llm.queries()[name](spark, str(SF)), con, llm.oracle_sql()[name]) > 0
+    assert assert_same((llm.queries() | llm.page_queries())[name](spark, str(SF)), con, llm.oracle_sql()[name]) > 0
