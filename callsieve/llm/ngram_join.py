@@ -165,7 +165,8 @@ def candidate_pairs(rows: DataFrame) -> DataFrame:
 def fragments_of(keys: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """`sid, n, part, grams` (sorted, as bytes) of the sets named in `keys`, a row per fragment, stored.
 
-    The corpus is read once; only the sets asked for are cut up.
+    The corpus is read once; only the sets asked for are cut up, where they are read. Rows that are repeated as they are
+    come out several times.
     """
     ship_package(docs.sparkSession)
     wanted = sets.join(keys.select("sid").distinct(), "sid").select("sid", "low")
@@ -186,27 +187,28 @@ def fragments_of(keys: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["sid", "n", "part", "grams"])
 
-    cut = rows.join(wanted, own).select("sid", "text").mapInArrow(run, "sid long, n long, part int, grams binary")
-    return stored(cut.groupBy("sid", "part").agg(F.first("n").alias("n"), F.first("grams").alias("grams")))
+    return stored(rows.join(wanted, own).select("sid", "text").mapInArrow(run, "sid long, n long, part int, grams binary"))
 
 
 def confirmed(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """The pairs `a, b` that reach the limit: overlaps counted in each fragment, then summed for the pair."""
     left = parts.select(F.col("sid").alias("a"), "part", F.col("n").alias("n_a"), F.col("grams").alias("left"))
     right = parts.select(F.col("sid").alias("b"), "part", F.col("n").alias("n_b"), F.col("grams").alias("right"))
-    met = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "n_a", "n_b", "left", "right")
+    met = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "n_a", "n_b", "part", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             common = [
                 len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
+                for x, y in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True)
             ]
-            columns = [*(batch.column(k) for k in range(4)), pa.array(common, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b", "common"])
+            columns = [*(batch.column(k) for k in range(5)), pa.array(common, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b", "part", "common"])
 
-    counted = met.mapInArrow(run, "a long, b long, n_a long, n_b long, common long")
-    summed = counted.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
+    counted = met.mapInArrow(run, "a long, b long, n_a long, n_b long, part int, common long")
+    # A fragment's count may come several times, from repeated rows, so each is taken once.
+    each = [F.coalesce(F.max(F.when(F.col("part") == k, F.col("common"))), F.lit(0).cast("long")) for k in range(FRAGMENTS)]
+    summed = counted.groupBy("a", "b", "n_a", "n_b").agg(sum(each[1:], each[0]).alias("common"))
     enough = F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * PERCENT
     return summed.filter(enough).select("a", "b")
 
@@ -214,9 +216,10 @@ def confirmed(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 def links_of_large_cells(rows: DataFrame, names: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame | None:
     """Links `a, b` that join components within cells of over `CELL` sets; None if every such cell is in one component.
 
-    Cells with sets in common are put together. Sets outside the largest component of such a cluster are compared with all of its
-    sets of like size, a block of sets with a block of sets: partial overlaps as a matrix for each fragment, and their
-    sum. Blocks are bounded in bytes. Of the links between two blocks those that join components come out.
+    Cells with sets in common are put together. Sets outside the largest component of such a cluster are compared with each other
+    and with its sets, if their sizes fit, a block of sets with a block of sets: partial overlaps as a matrix for each
+    fragment, and their sum. Blocks are bounded in bytes. Of the links between two blocks those that join components
+    come out.
     """
     ship_package(docs.sparkSession)
     large = rows.filter(F.col("n_sets") > CELL).select("gram", "sid", "n", F.col("hub.sid").alias("hub"))
@@ -233,26 +236,29 @@ def links_of_large_cells(rows: DataFrame, names: DataFrame, sets: DataFrame, doc
     members = stored(opened.select("sid", "n", "component", size.alias("size")).distinct().join(clusters, "sid"))
     main = members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("k"))
     main = main.groupBy("cluster").agg(F.max_by("component", F.struct("k", "component")).alias("main"))
-    blocks = members.groupBy("cluster", "size").agg(
+    members = stored(members.join(stored(main), "cluster").withColumn("outside", F.col("component") != F.col("main")))
+    kind = ["cluster", "size", "outside"]
+    blocks = members.groupBy(*kind).agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum(F.col("n") * 8) / BLOCK_BYTES), F.lit(1)
         ).alias("blocks")
     )
     blocks = stored(blocks)
-    placed = stored(members.join(stored(main), "cluster").join(blocks, ["cluster", "size"]).withColumn(
-        "block", F.pmod(F.xxhash64("sid"), "blocks")
-    ).select("sid", "component", "cluster", "size", "block", (F.col("component") != F.col("main")).alias("outside")))
+    placed = stored(members.join(blocks, kind).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks")).select("sid", "component", *kind, "block"))
     given = placed.join(fragments_of(members, sets, docs), "sid")
-
-    def gathered(of: DataFrame, name: str) -> DataFrame:
-        row = F.struct("sid", "component", "n", "part", "grams")
-        return of.groupBy("cluster", "size", "block").agg(F.collect_list(row).alias(name))
-
-    near = F.explode(F.array(*[F.col("size") + d for d in (-1, 0, 1)])).alias("size_b")
-    other = blocks.select("cluster", F.col("size").alias("size_b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block_b"))
-    left = gathered(given.filter("outside"), "left").select("*", near).join(other, ["cluster", "size_b"])
-    right = gathered(given, "right").toDF("cluster", "size_b", "block_b", "right")
-    met = left.join(right, ["cluster", "size_b", "block_b"]).select("left", "right")
+    row = F.struct("sid", "component", "n", "part", "grams")
+    every = stored(given.groupBy(*kind, "block").agg(F.collect_list(row).alias("held")))
+
+    # Each pair of blocks of one size, or of one size and the next, is compared once, unless both are in the largest component.
+    key = F.struct("size", "outside", "block")
+    first = every.select("cluster", key.alias("left_key"))
+    near = F.explode(F.array(F.col("left_key.size"), F.col("left_key.size") + 1)).alias("size")
+    second = every.select("cluster", "size", key.alias("right_key"))
+    pairs = first.select("*", near).join(second, ["cluster", "size"]).filter(F.col("left_key.outside") | F.col("right_key.outside"))
+    pairs = stored(pairs.filter(F.col("left_key") <= F.col("right_key")).drop("size"))
+    left = every.select("cluster", key.alias("left_key"), F.col("held").alias("left"))
+    right = every.select("cluster", key.alias("right_key"), F.col("held").alias("right"))
+    met = pairs.join(left, ["cluster", "left_key"]).join(right, ["cluster", "right_key"]).select("left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
