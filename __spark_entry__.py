@@ -24,11 +24,13 @@ import sql_checks  # noqa: E402
 from callsieve.functions import arrays, casts, python_udfs, text  # noqa: E402
 from callsieve.ml import features, metrics, split  # noqa: E402
 from callsieve.ml.mlp import DistributedMLP, DistributedMLPModel  # noqa: E402
+from callsieve.ml.synchronous import SynchronousMLP  # noqa: E402
 from callsieve.operators import calls, history  # noqa: E402
 from callsieve.operators.endpoint_join import either_endpoint_join  # noqa: E402
 from callsieve.operators.groups import MAX_ROWS  # noqa: E402
-from callsieve.plans import image_classifier, suspect_traffic  # noqa: E402
+from callsieve.plans import image_classifier, stored_traffic, suspect_traffic  # noqa: E402
 from callsieve.sources import derived, tables  # noqa: E402
+from callsieve.sources.leg_table import LegTable, write_leg_table  # noqa: E402
 
 try:  # the training-data operators are an add-on: without their folder, everything else works
     import corpus_pipeline
@@ -42,6 +44,8 @@ except ModuleNotFoundError as missing:
 RULES = calls.SuspectRules(min_calls=30)
 # Small enough that most keys in `events` are cut into parts, as very large ones are.
 SMALL_PART = 25
+# Callers in `events` have 60 to 80 legs on one day: some are ordinary ones in the stored table, others frequent.
+FREQUENT_LEGS = 60
 USER_FILE = str(ROOT / "examples" / "call_scores.py")
 
 
@@ -73,6 +77,15 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _legs(s, d), RULES, broadcast_bytes=0
         ),
         "cdr_suspect_traffic_sql": lambda s, d: suspect_traffic.suspect_traffic_sql(s, _legs(s, d), RULES),
+        "cdr_suspect_traffic_filtered": lambda s, d: suspect_traffic.suspect_traffic_filtered(_legs(s, d), RULES),
+        "cdr_heavy_callers_sketched": lambda s, d: suspect_traffic.sketched_heavy_callers(
+            calls.legs_of_day(_legs(s, d), RULES), RULES
+        ),
+        "cdr_table_scan": lambda s, d: calls.legs_of_day(_leg_table(s, d).legs(), RULES),
+        "cdr_table_distinct_calls": lambda s, d: stored_traffic.stored_distinct_calls(_leg_table(s, d)),
+        "cdr_table_session_rollup": lambda s, d: stored_traffic.stored_sessions(_leg_table(s, d), RULES),
+        "cdr_table_heavy_callers": lambda s, d: stored_traffic.stored_heavy_callers(_leg_table(s, d), RULES),
+        "cdr_table_suspect_traffic": lambda s, d: stored_traffic.stored_suspect_traffic(_leg_table(s, d), RULES),
         "safe_bigint": _safe_bigint,
         "duration_expr": _duration_expr,
         "regex_replace_all": _regex_replace_all,
@@ -88,6 +101,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "py_grouped_score": _py_grouped_score,
         "py_grouped_score_in_parts": lambda s, d: _py_grouped_score(s, d, SMALL_PART),
         "py_grouped_score_large_keys": _large_key_scores,
+        "py_grouped_stream": _py_grouped_stream,
         "py_ndarray_reshape": _py_ndarray_reshape,
         "take_n": lambda s, d: history.first_n(_py_grouped_score(s, d), 5, "phone1"),
         "array_reshape": _array_reshape,
@@ -114,6 +128,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "show_predictions": lambda s, d: history.first_n(_rule_predictions(s, d), 100, "vec_id"),
         "ml_mlp_builtin": _ml_mlp_builtin,
         "ml_mlp_distributed": _ml_mlp_distributed,
+        "ml_mlp_linear": _ml_mlp_linear,
+        "ml_mlp_synchronous": _ml_mlp_synchronous,
+        "ml_mlp_synchronous_rounds": _ml_mlp_synchronous_rounds,
         "ml_mlp_adadelta": _ml_mlp_adadelta,
         "ml_mlp_data_parallel": _ml_mlp_data_parallel,
         "ml_predict": _ml_predict,
@@ -129,6 +146,17 @@ def _legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.call_legs(tables.read_table(spark, sf_dir, "events"))
 
 
+_leg_tables: dict[tuple[str, str], LegTable] = {}
+
+
+def _leg_table(spark: SparkSession, sf_dir: str) -> LegTable:
+    """The legs as a stored table, written once per application and data folder."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _leg_tables:
+        _leg_tables[key] = write_leg_table(_legs(spark, sf_dir), frequent_legs=FREQUENT_LEGS)
+    return _leg_tables[key]
+
+
 def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.calls(tables.read_table(spark, sf_dir, "events"))
 
@@ -297,6 +325,19 @@ def _py_grouped_score(spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS
     )
 
 
+def _py_grouped_stream(spark: SparkSession, sf_dir: str, batch_rows: int = SMALL_PART) -> DataFrame:
+    """Each caller's longest silence, from its legs in order; most callers have several batches."""
+    start = casts.lenient_bigint(F.col("btime")).alias("start")
+    return history.stream_by_key(
+        _legs(spark, sf_dir).select("calling_number", start),
+        "calling_number",
+        ["start"],
+        _user_module(spark).longest_gap,
+        "calling_number string, legs bigint, longest_gap bigint, since bigint",
+        batch_rows,
+    )
+
+
 def _py_ndarray_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir).select("vec_id", "embedding")
     made = python_udfs.map_matrices(
@@ -365,19 +406,50 @@ def _one_layer(**settings) -> DistributedMLP:
     average over tasks is that of all rows, however they are partitioned.
     """
     return DistributedMLP(
-        layers=[64, 4], initialWeights=[0.0] * 260, batchSize=10**9, localOptimizer="plain", dropout=0.0,
+        layers=[64, 4], initialWeights=[0.0] * 260, batchSize=0, localOptimizer="plain", dropout=0.0,
         validationSplit=0.0, **settings,
     )
 
 
-def _weights(spark: SparkSession, model) -> DataFrame:
+def _weights(spark: SparkSession, model, digits: int = 2) -> DataFrame:
     values = [(i, float(w)) for i, w in enumerate(model.weights)]
     frame = spark.createDataFrame(values, "pos int, value double")
-    return frame.select("pos", (F.round("value", 2) + F.lit(0.0)).alias("value"))
+    return frame.select("pos", (F.round("value", digits) + F.lit(0.0)).alias("value"))
+
+
+def _hidden_weights() -> list[float]:
+    """Fixed weights of a network with a hidden layer: a pattern of 11 values in the order of the weights."""
+    return [(i * 7 % 11 - 5) / 20 for i in range(64 * 3 + 3 + 3 * 4 + 4)]
 
 
 def _ml_mlp_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The weights after one round of plain averaging from zero."""
+    """The weights of a network with a hidden ReLU layer after one round: each task's step, averaged over the tasks."""
+    estimator = DistributedMLP(
+        layers=[64, 3, 4], initialWeights=_hidden_weights(), batchSize=0, localOptimizer="plain", optimizer="plain",
+        dropout=0.0, validationSplit=0.0, numWorkers=4,
+    )
+    return _weights(spark, estimator.fit(_labelled_vectors(spark, sf_dir)), 3)
+
+
+def _ml_mlp_synchronous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same network's weights after one step that four tasks make together."""
+    estimator = SynchronousMLP(
+        layers=[64, 3, 4], initialWeights=_hidden_weights(), batchSize=0, optimizer="plain", validationSplit=0.0,
+        numWorkers=4,
+    )
+    return _weights(spark, estimator.fit(_labelled_vectors(spark, sf_dir)), 3)
+
+
+def _ml_mlp_synchronous_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adam on shared mini-batches, a tenth held out: rows scored, and whether accuracy reached a floor."""
+    estimator = SynchronousMLP(
+        layers=[64, 32, 4], settings={"rate": 0.05}, epochs=12, batchSize=2048, numWorkers=4, validationSplit=0.1
+    )
+    return _reached(image_classifier.train_and_score(_labelled_vectors(spark, sf_dir), estimator, "vec_id"), 0.6)
+
+
+def _ml_mlp_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights of a network without hidden layers after one round of plain averaging from zero."""
     return _weights(spark, _one_layer(optimizer="plain").fit(_labelled_vectors(spark, sf_dir)))
 
 
@@ -389,13 +461,13 @@ def _ml_mlp_adadelta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ml_mlp_data_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adam in the tasks, Adadelta on the change, a set number of workers, one epoch, a tenth held out."""
+    """Adam in four tasks, Adadelta on the change, dropout, batches of 64, a tenth held out."""
     rows = _labelled_vectors(spark, sf_dir)
     estimator = DistributedMLP(
-        layers=[64, 128, 128, 4], localOptimizer="adam", localSettings={"rate": 0.001}, optimizer="adadelta",
-        settings={"decay": 0.95, "eps": 1e-6}, numWorkers=1, epochs=1, batchSize=64, validationSplit=0.1,
+        layers=[64, 128, 128, 4], localOptimizer="adam", localSettings={"rate": 0.01}, optimizer="adadelta",
+        settings={"decay": 0.95, "eps": 0.01}, numWorkers=4, epochs=10, batchSize=64, dropout=0.2, validationSplit=0.1,
     )
-    return _reached(image_classifier.train_and_score(rows, estimator, "vec_id"), 0.0)
+    return _reached(image_classifier.train_and_score(rows, estimator, "vec_id"), 0.55)
 
 
 def _ml_predict(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,12 +26,12 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callsieve.functions.arrays import class_index, whole_number
 from callsieve.functions.python_udfs import matrix_rows
 from callsieve.ml import network
-from callsieve.ml.optimizers import OPTIMIZERS
+from callsieve.ml.optimizers import OPTIMIZERS, restore, state
 from callsieve.ml.split import content_point
 from callsieve.shipping import ship_package
 
@@ -64,12 +64,17 @@ class DistributedMLP(
     `initialWeights`, if given: all layers' matrices and biases in one list.
 
     The label is a class index, or a one-hot array or vector if `categoricalLabels` is set.
-    `numWorkers` 0 keeps the input's partitions. `validationSplit` keeps about that share of rows
+    `numWorkers` 0 keeps the input's partitions. `batchSize` 0 takes all rows of a task as one mini-batch, whose
+    gradient is added up Arrow batch by Arrow batch. `validationSplit` keeps about that share of rows
     out of training, chosen by their content.
+
+    With `roundsFolder`, a folder that the driver and all executors share, the weights, the rule's accumulators and the losses are
+    written there after each round, and training starts from the last round found there that was written whole. So a job
+    that was stopped goes on where it was, with the result of one that was not, and so does one with more `epochs`.
     """
 
     epochs = Param(Params._dummy(), "epochs", "passes over the data", TypeConverters.toInt)
-    batchSize = Param(Params._dummy(), "batchSize", "rows per mini-batch", TypeConverters.toInt)
+    batchSize = Param(Params._dummy(), "batchSize", "rows per mini-batch, 0 for all of a task", TypeConverters.toInt)
     numWorkers = Param(Params._dummy(), "numWorkers", "partitions to train on", TypeConverters.toInt)
     numClasses = Param(Params._dummy(), "numClasses", "classes, equal to the last layer", TypeConverters.toInt)
     dropout = Param(Params._dummy(), "dropout", "share of hidden units dropped", TypeConverters.toFloat)
@@ -80,6 +85,7 @@ class DistributedMLP(
     localSettings = Param(Params._dummy(), "localSettings", "settings of localOptimizer")
     settings = Param(Params._dummy(), "settings", "settings of optimizer")
     initialWeights = Param(Params._dummy(), "initialWeights", "weights to start from", TypeConverters.toListFloat)
+    roundsFolder = Param(Params._dummy(), "roundsFolder", "where rounds are kept", TypeConverters.toString)
     verbosity = Param(Params._dummy(), "verbosity", "1 prints each round's loss", TypeConverters.toInt)
 
     @keyword_only
@@ -103,6 +109,7 @@ class DistributedMLP(
         localSettings: dict[str, float] | None = None,
         settings: dict[str, float] | None = None,
         initialWeights: list[float] | None = None,
+        roundsFolder: str | None = None,
         verbosity: int = 0,
         seed: int = 1,
     ):
@@ -130,9 +137,10 @@ class DistributedMLP(
         for param in (self.dropout, self.validationSplit):
             if not 0 <= self.getOrDefault(param) < 1:
                 raise ValueError(f"{param.name} must be in [0, 1)")
-        for param in (self.epochs, self.batchSize):
-            if self.getOrDefault(param) < 1:
-                raise ValueError(f"{param.name} must be at least 1")
+        if self.getOrDefault(self.epochs) < 1:
+            raise ValueError("epochs must be at least 1")
+        if self.getOrDefault(self.batchSize) < 0:
+            raise ValueError("batchSize must be at least 1, or 0 for all of a task's rows")
 
     def _rule(self, name: Param, settings: Param):
         """A new update rule; wrong names of settings are an error."""
@@ -157,17 +165,13 @@ class DistributedMLP(
         self._check()
         ship_package(df.sparkSession)
         layers, seed = self.getLayers(), self.getSeed()
-        weights = network.initial_weights(layers, seed)
-        if self.isSet(self.initialWeights):
-            weights = np.array(self.getOrDefault(self.initialWeights), np.float32)
-        rule = self._rule(self.optimizer, self.settings)
+        weights, rule, history = self._start(df.sparkSession)
         sc = df.sparkSession.sparkContext
         rows = self._training_rows(df)
         if self.getOrDefault(self.epochs) > 1 or self.getOrDefault(self.validationSplit) > 0:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        history = []
         try:
-            for round_no in range(self.getOrDefault(self.epochs) + 1):
+            for round_no in range(len(history), self.getOrDefault(self.epochs) + 1):
                 last = round_no == self.getOrDefault(self.epochs)
                 if last and self.getOrDefault(self.validationSplit) == 0:
                     break
@@ -183,7 +187,8 @@ class DistributedMLP(
                     raise ValueError("no rows to train on")
                 change = np.concatenate([blocks[b] for b in range(_block_count(layers))])
                 weights = rule.step(weights, change)
-                history.append({"round": round_no + 1, "loss": blocks[TRAIN_LOSS][0]})
+                history.append({"round": round_no + 1, "loss": float(blocks[TRAIN_LOSS][0])})
+                self._keep_round(df.sparkSession, weights, rule, history)
                 if self.getOrDefault(self.verbosity) > 0:
                     print(f"round {round_no + 1}: loss {blocks[TRAIN_LOSS][0]:.4f}")
         finally:
@@ -191,6 +196,37 @@ class DistributedMLP(
         model = DistributedMLPModel(weights, history)
         return self._copyValues(model)
 
+    def _start(self, spark: SparkSession) -> tuple[np.ndarray, object, list[dict]]:
+        """Weights, rule and losses to go on from: those of the last whole round that was kept, or new ones."""
+        layers = self.getLayers()
+        weights = network.initial_weights(layers, self.getSeed())
+        if self.isSet(self.initialWeights):
+            weights = np.array(self.getOrDefault(self.initialWeights), np.float32)
+        rule = self._rule(self.optimizer, self.settings)
+        if not self.isSet(self.roundsFolder):
+            return weights, rule, []
+        for round_no in range(self.getOrDefault(self.epochs), 0, -1):
+            folder = f"{self.getOrDefault(self.roundsFolder)}/round-{round_no:06d}"
+            if not _is_whole(spark, folder):
+                continue
+            kept = {r["name"]: r for r in spark.read.parquet(folder).collect()}
+            if len(kept["weights"]["values"]) != len(weights):
+                raise ValueError(f"the rounds in {self.getOrDefault(self.roundsFolder)} are of other layers")
+            known = {k.removeprefix("rule "): np.array(r["values"]) for k, r in kept.items() if k.startswith("rule ")}
+            history = json.loads(kept["history"]["text"])
+            return np.array(kept["weights"]["values"], np.float32), restore(type(rule), vars(rule), known), history
+        return weights, rule, []
+
+    def _keep_round(self, spark: SparkSession, weights: np.ndarray, rule, history: list[dict]) -> None:
+        """Write what `_start` reads; a round counts once its whole table is there."""
+        if not self.isSet(self.roundsFolder):
+            return
+        rows = [("weights", [float(w) for w in weights], None), ("history", None, json.dumps(history))]
+        rows += [(f"rule {k}", [float(x) for x in v], None) for k, v in state(rule).items()]
+        folder = f"{self.getOrDefault(self.roundsFolder)}/round-{len(history):06d}"
+        frame = spark.createDataFrame(rows, "name string, values array<double>, text string")
+        frame.coalesce(1).write.mode("overwrite").parquet(folder)
+
     def _round(
         self, rows: DataFrame, sent: Broadcast, layers: list[int], seeds: tuple[int, int], train: bool
     ) -> dict[int, np.ndarray]:
@@ -213,6 +249,12 @@ class DistributedMLP(
         return {r["block"]: r["mean"].toArray() for r in means.collect()}
 
 
+def _is_whole(spark: SparkSession, folder: str) -> bool:
+    """Whether Spark has finished writing a table to `folder`."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 class DistributedMLPModel(Model, _NetworkParams, MLReadable, MLWritable):
     """The trained network. `history` has each round's losses; `probability` is an array of doubles.
 
@@ -324,20 +366,28 @@ def _changes(
     held, held_loss, held_right = 0, 0.0, 0
     rest_x, rest_y = np.empty((0, layers[0]), np.float32), np.empty(0, np.int64)
 
+    whole = np.zeros(len(start))  # of a task that is one mini-batch, the summed gradient
+
     def learn(x: np.ndarray, y: np.ndarray) -> None:
-        nonlocal weights, seen, loss_sum
+        nonlocal weights, seen, loss_sum, whole
         loss, gradient = network.loss_and_gradient(weights, layers, x, y, dropout, rng)
-        weights = rule.step(weights, gradient)
+        if batch_size:
+            weights = rule.step(weights, gradient)
+        else:
+            whole += gradient.astype(np.float64) * len(y)
         seen, loss_sum = seen + len(y), loss_sum + loss * len(y)
 
     for batch in batches:
-        x, y, out = _rows_of(batch, layers)
+        x, y, out = rows_of(batch, layers)
         if out.any():
             p = network.probabilities(start, layers, x[out])
             held_loss -= float(np.log(np.maximum(p[np.arange(len(p)), y[out]], 1e-12)).sum())
             held_right += int((p.argmax(axis=1) == y[out]).sum())
             held += len(p)
-        if train:
+        if train and not batch_size:
+            if not out.all():
+                learn(x[~out], y[~out])
+        elif train:
             x, y = np.concatenate([rest_x, x[~out]]), np.concatenate([rest_y, y[~out]])
             order = rng.permutation(len(y))
             full = len(y) - len(y) % batch_size
@@ -347,6 +397,8 @@ def _changes(
             rest_x, rest_y = x[order[full:]], y[order[full:]]
     if len(rest_y):
         learn(rest_x, rest_y)
+    if seen and not batch_size:
+        weights = rule.step(weights, (whole / seen).astype(weights.dtype))
 
     rows: list[tuple[int, int, np.ndarray]] = []
     if seen:
@@ -364,7 +416,7 @@ def _changes(
         )
 
 
-def _rows_of(batch: pa.RecordBatch, layers: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def rows_of(batch: pa.RecordBatch, layers: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     present, x = _matrix(batch.column("features"), layers[0])
     label = batch.column("label")
     if not present.all() or label.null_count:

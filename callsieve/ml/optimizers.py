@@ -53,3 +53,17 @@ class Plain:
 
 
 OPTIMIZERS = {"adam": Adam, "adadelta": Adadelta, "plain": Plain}
+
+
+def state(rule) -> dict[str, np.ndarray]:
+    """What a rule remembers from step to step, settings included, as flat arrays by name."""
+    return {name: np.atleast_1d(np.asarray(value, np.float64)) for name, value in vars(rule).items()}
+
+
+def restore(kind: type, settings: dict, known: dict[str, np.ndarray]):
+    """A rule of `kind` that goes on from a `state`."""
+    rule = kind.__new__(kind)
+    vars(rule).update(settings)
+    for name, values in known.items():
+        vars(rule)[name] = values.copy() if len(values) > 1 else values[0]
+    return rule

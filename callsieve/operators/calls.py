@@ -94,13 +94,17 @@ def distinct_calls(legs: DataFrame) -> DataFrame:
     return legs.select(*CALL_KEYS).distinct()
 
 
-def heavy_callers(legs: DataFrame, rules: SuspectRules) -> DataFrame:
-    """Callers with at least `min_calls` distinct calls, and how many they made."""
-    counted = legs.filter(
+def counted_legs(legs: DataFrame, rules: SuspectRules) -> DataFrame:
+    """The legs that count when heavy callers are looked for."""
+    return legs.filter(
         pattern_clear() & allowed_caller(rules) & (F.length("calling_number") > rules.longer_than)
     )
+
+
+def heavy_callers(legs: DataFrame, rules: SuspectRules) -> DataFrame:
+    """Callers with at least `min_calls` distinct calls, and how many they made."""
     return (
-        distinct_calls(counted)
+        distinct_calls(counted_legs(legs, rules))
         .groupBy("calling_number")
         .agg(F.count(F.lit(1)).alias("calls"))
         .filter(F.col("calls") >= rules.min_calls)

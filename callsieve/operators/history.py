@@ -33,6 +33,8 @@ CALL_FIELDS_WITHOUT_EVENT = (
     "hours",
 )
 
+STREAM_ROWS = 10_000
+
 
 def collect_history(
     rows: DataFrame,
@@ -82,15 +84,89 @@ def score_whole_keys(
 ) -> DataFrame:
     """Give all of each key's rows at once to a Python function that cannot work on parts.
 
-    Raises ValueError before any of it is called if a key has more than `max_rows` rows.
+    Raises ValueError before any of it is called if a key has more than `max_rows` rows, as they would have to fit a
+    task's memory together. A function that can read them as a stream has no such limit: see `stream_by_key`.
     """
     longest = rows.groupBy(key).count().agg(F.max("count")).first()[0] or 0
     if longest > max_rows:
-        raise ValueError(f"a key has {longest} rows, over the limit of {max_rows}; score it in parts")
+        raise ValueError(f"a key has {longest} rows, over the limit of {max_rows}; score it in parts or as a stream")
     grouped = bounded_parts(rows, key, None, max_rows, spread=True).sortWithinPartitions(key, PART)
     return _scored(grouped, key, function, schema)
 
 
+def stream_by_key(
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch | pa.Table | pd.DataFrame]],
+    schema: T.StructType | str,
+    batch_rows: int = STREAM_ROWS,
+) -> DataFrame:
+    """Give each key's rows, in order, as a stream of Arrow batches to a Python function, whatever their number.
+
+    `function` gets an iterator over a key's rows sorted by `order` (NULLs first), in batches of `batch_rows` at most, and
+    yields results of `schema`: what it keeps in local variables is its state. So a function that depends on the
+    order of all rows is exact, and a task holds one batch and that state. Rows that are equal in `order` come in any order.
+    It need not read its stream to the end. Only the columns of `rows` travel: select those that are needed.
+
+    Keys share tasks, but the rows of one key go through one task one after the other, as the state is carried from row to
+    row: Spark sorts them on disk if need be, so a long key costs time, not memory. A function whose
+    results over parts can be merged is better off in `score_by_key`, which spreads such a key.
+    """
+    if batch_rows < 1:
+        raise ValueError("batch_rows must be at least 1")
+    ship_package(rows.sparkSession)
+    made = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow_schema = to_arrow_schema(made)
+
+    def tables(results: Iterator[pa.RecordBatch | pa.Table | pd.DataFrame]) -> Iterator[pa.RecordBatch]:
+        for result in results:
+            if isinstance(result, pd.DataFrame):
+                result = pa.Table.from_pandas(result[made.names], arrow_schema, preserve_index=False)
+            table = result if isinstance(result, pa.Table) else pa.Table.from_batches([result])
+            yield from table.select(made.names).cast(arrow_schema).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(batches, key, batch_rows)
+        piece = next(pieces, None)
+        while piece is not None:
+            following = None
+
+            def stream(first: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+                nonlocal following
+                yield first
+                for begins, batch in pieces:
+                    if begins:
+                        following = begins, batch
+                        return
+                    yield batch
+
+            own = stream(piece[1])
+            yield from tables(function(own))
+            for _ in own:  # what the function left
+                pass
+            piece = following
+
+    return rows.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, made)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], key: str, batch_rows: int) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Sorted batches cut at each new key: whether a key begins with the piece, and the piece."""
+    last: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = pa.Table.from_batches([batch]).select([key])
+        met = own if last is None else pa.concat_tables([last, own])
+        starts = np.flatnonzero(_changes(met[key])) + 1 - (0 if last is None else 1)
+        starts = set(starts.tolist()) | ({0} if last is None else set())
+        cuts = sorted({0, *starts, batch.num_rows})
+        for a, b in zip(cuts, cuts[1:]):
+            for at in range(a, b, batch_rows):
+                yield at == a and a in starts, batch.slice(at, min(batch_rows, b - at))
+        last = own.slice(batch.num_rows - 1)
+
+
 def _scored(
     grouped: DataFrame, key: str, function: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from callsieve.operators.calls import (
     SESSION_COLUMNS,
     SESSION_KEYS,
     SuspectRules,
+    counted_legs,
     heavy_callers,
     legs_of_day,
     session_measures,
@@ -16,6 +17,7 @@ from callsieve.operators.calls import (
 )
 from callsieve.operators.checkpoints import BROADCAST_BYTES, checkpointed, size_in_bytes
 from callsieve.operators.endpoint_join import either_endpoint_join
+from callsieve.operators.sketches import bloom_filter, count_min_sketch
 
 ENDS = ("calling_number", "called_number")
 
@@ -64,6 +66,33 @@ def _filter_then_roll_up(today: DataFrame, heavy: DataFrame) -> DataFrame:
     return sessions.withColumn("_match", F.explode(F.sequence(F.lit(1), "_matches"))).select(*SESSION_COLUMNS)
 
 
+def sketched_heavy_callers(legs: DataFrame, rules: SuspectRules = SuspectRules(), expected: int | None = None) -> DataFrame:
+    """What `heavy_callers` gives; callers who surely have too few legs are left out before calls are shuffled.
+
+    A count-min sketch bounds each caller's legs from above, and a caller has no more calls than legs, so no heavy caller goes
+    and the count of those that stay is exact. It pays where most callers are light. `expected` is about how many legs
+    there are (counted, if not given), for which the sketch is sized.
+    """
+    counted = counted_legs(legs, rules)
+    expected = counted.count() if expected is None else expected
+    sketch = count_min_sketch(counted, "calling_number", expected, max(1, rules.min_calls // 2))
+    return heavy_callers(legs.filter(sketch.at_most(F.col("calling_number")) >= rules.min_calls), rules)
+
+
+def suspect_traffic_filtered(legs: DataFrame, rules: SuspectRules = SuspectRules()) -> DataFrame:
+    """What `suspect_traffic` gives, for lists of heavy callers that are too long to broadcast.
+
+    A Bloom filter over the heavy callers, tested on both ends, drops the legs of other sessions before the roll-up
+    shuffles them; the join after it is exact. Computes the heavy callers when called, and needs a checkpoint folder.
+    """
+    today = legs_of_day(legs, rules)
+    heavy = checkpointed(heavy_callers(today, rules).select("calling_number"))
+    # Both ends are session keys: all legs of a session pass or go.
+    known = bloom_filter(heavy, "calling_number", heavy.count())
+    first, second = (F.coalesce(known.may_hold(F.col(end)), F.lit(False)) for end in ENDS)
+    return either_endpoint_join(session_rollup(today.filter(first | second)), heavy, ENDS, "calling_number")
+
+
 def suspect_traffic_sql(
     spark: SparkSession, legs: DataFrame, rules: SuspectRules = SuspectRules()
 ) -> DataFrame:

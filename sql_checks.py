@@ -124,6 +124,36 @@ GRADIENT = """labelled as (
   from labelled, range(0, 65) as a(i), range(0, 4) as b(j) group by i, j
 )"""
 
+# One plain step of a network of 64, 3 and 4 units, ReLU between, from fixed weights: 64 rows of 3, 3 biases, 3 rows of 4, 4 biases.
+HIDDEN_STEP = """start as (
+  select list(((i * 7) % 11 - 5) / 20.0::double order by i) as w from range(0, 211) r(i)
+), labelled as (
+  select list_append(list_transform(embedding, lambda x: cast(x as double) * 10), 1.0) as x,
+    list_position(embedding[1:4], list_max(embedding[1:4])) - 1 as label
+  from embeddings
+), hidden as (
+  select x, label, w, list_transform([0, 1, 2], lambda j: greatest(0.0, list_sum(list_transform(range(0, 65),
+    lambda i: x[i + 1] * w[i * 3 + j + 1])))) as h
+  from labelled, start
+), exponents as (
+  select x, label, w, h, list_transform([0, 1, 2, 3], lambda c: exp(w[208 + c] + list_sum(list_transform([0, 1, 2],
+    lambda j: h[j + 1] * w[196 + j * 4 + c])))) as e
+  from hidden
+), deltas as (
+  select x, w, h, list_transform([0, 1, 2, 3],
+    lambda c: e[c + 1] / list_sum(e) - case when c = label then 1 else 0 end) as d
+  from exponents
+), gradients as (
+  select i * 3 + j as pos, avg(x[i + 1] * case when h[j + 1] > 0 then list_sum(list_transform([0, 1, 2, 3],
+    lambda c: d[c + 1] * w[196 + j * 4 + c])) else 0 end) as g
+  from deltas, range(0, 65) a(i), range(0, 3) b(j) group by i, j
+  union all
+  select 195 + j * 4 + c, avg(case when j = 3 then 1 else h[j + 1] end * d[c + 1])
+  from deltas, range(0, 4) a(j), range(0, 4) b(c) group by j, c
+), stepped as (
+  select cast(pos as integer) as pos, round(w[pos + 1] - g, 3) + 0.0::double as value from gradients, start
+)"""
+
 SCORED = """select phone1, count(*) as calls, cast(sum(cast("callDuration" as bigint)) as bigint) as seconds,
   max(cast("callDuration" as bigint)) as longest, count(*) filter (hours >= 20) as night_calls
 from calls group by phone1"""
@@ -160,6 +190,14 @@ from sessions a join heavy b on a.calling_number = b.calling_number or a.called_
         "cdr_suspect_traffic_measured": SUSPECT_TRAFFIC,
         "cdr_suspect_traffic_shuffled": SUSPECT_TRAFFIC,
         "cdr_suspect_traffic_sql": SUSPECT_TRAFFIC,
+        "cdr_suspect_traffic_filtered": SUSPECT_TRAFFIC,
+        "cdr_heavy_callers_sketched": f"with {LEGS}, {TODAY}, {HEAVY} select * from heavy",
+        "cdr_table_scan": f"with {LEGS}, {TODAY} select * from today",
+        "cdr_table_distinct_calls": f"""with {LEGS} select calling_number, called_number, callid from legs
+group by calling_number, called_number, callid""",
+        "cdr_table_session_rollup": f"with {LEGS}, {TODAY}, {rollup('today')} select * from sessions",
+        "cdr_table_heavy_callers": f"with {LEGS}, {TODAY}, {HEAVY} select * from heavy",
+        "cdr_table_suspect_traffic": SUSPECT_TRAFFIC,
         "safe_bigint": f"""select event_id, txt, {bigint("txt")} as number from (
   select event_id, case event_id % 13
     when 0 then n when 1 then ' ' || n || ' ' when 2 then n || '.7' when 3 then '-' || n || '.7'
@@ -192,6 +230,12 @@ select phone1, phone2, hours, cast(hours + phone2_type as bigint) as total from
         "py_grouped_score_large_keys": """select big_id, count(*) as n, max(event_id) as last_event
 from (select case when user_id % 10 <> 0 then user_id + 9007199254740992 end as big_id, event_id from events)
 group by big_id""",
+        "py_grouped_stream": f"""with {LEGS}, gaps as (
+  select calling_number, start, start - lag(start) over (partition by calling_number order by start) as gap
+  from (select calling_number, cast(btime as bigint) as start from legs)
+)
+select calling_number, count(*) as legs, max(gap) as longest_gap, arg_max(start - gap, (gap, -start)) as since
+from gaps group by calling_number""",
         "take_n": f"with {CALLS} {SCORED} order by phone1 limit 5",
         "py_ndarray_reshape": """select vec_id, cast(j * 32 + i as integer) as pos,
   cast(embedding[i * 2 + j + 1] as double) as value
@@ -230,7 +274,10 @@ from per_class""",
         "ml_mlp_builtin": f"select count(*) as n, true as reached from embeddings where {SPLIT_POINT} < 0.1",
         "ml_mlp_data_parallel": f"select count(*) as n, true as reached from embeddings where {SPLIT_POINT} < 0.1",
         "ml_end_to_end": f"select count(*) as n, true as reached from embeddings where {SPLIT_POINT} < 0.1",
-        "ml_mlp_distributed": f"with {GRADIENT} select pos, round(-gradient, 2) + 0.0::double as value from gradients",
+        "ml_mlp_distributed": f"with {HIDDEN_STEP} select * from stepped",
+        "ml_mlp_synchronous": f"with {HIDDEN_STEP} select * from stepped",
+        "ml_mlp_synchronous_rounds": f"select count(*) as n, true as reached from embeddings where {SPLIT_POINT} < 0.1",
+        "ml_mlp_linear": f"with {GRADIENT} select pos, round(-gradient, 2) + 0.0::double as value from gradients",
         "ml_mlp_adadelta": f"""with {GRADIENT}
 select pos, round(-gradient * sqrt(0.01) / sqrt(0.1 * gradient * gradient + 0.01), 2) + 0.0::double as value
 from gradients""",

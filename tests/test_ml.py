@@ -268,7 +268,7 @@ def test_end_to_end(vectors):
 
 def one_layer(**settings):
     return DistributedMLP(
-        layers=[64, 4], initialWeights=[0.0] * 260, batchSize=10**9, localOptimizer="plain", dropout=0.0,
+        layers=[64, 4], initialWeights=[0.0] * 260, batchSize=0, localOptimizer="plain", dropout=0.0,
         validationSplit=0.0, **settings,
     )
 

@@ -1,0 +1,95 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from callsieve.ml import metrics, network
+from callsieve.ml.mlp import DistributedMLP
+from callsieve.ml.optimizers import Adam
+from callsieve.ml.synchronous import SynchronousMLP
+from callsieve.plans.image_classifier import train_and_score
+from callsieve.sources.derived import labelled_vectors
+from callsieve.sources.tables import read_table
+from conftest import TESTDATA
+
+LAYERS = [64, 12, 4]
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    return labelled_vectors(read_table(spark, str(TESTDATA / "sf0.1"), "embeddings")).cache()
+
+
+def test_equals_one_machine_on_the_same_batches(vectors):
+    common = {"layers": LAYERS, "epochs": 2, "batchSize": 1500, "validationSplit": 0.0, "settings": {"rate": 0.01}}
+    rows = SynchronousMLP(**common)._batched_rows(vectors)[0].collect()
+    batches = sorted({r["batch"] for r in rows})
+    assert len(batches) == -(-vectors.count() // 1500) and len(rows) == vectors.count()
+    weights, rule = network.initial_weights(LAYERS, 1), Adam(rate=0.01)
+    for _ in range(2):
+        for b in batches:
+            own = [r for r in rows if r["batch"] == b]
+            x, y = np.array([r["features"] for r in own], np.float32), np.array([int(r["label"]) for r in own])
+            _, gradient = network.loss_and_gradient(weights, LAYERS, x, y, 0.0, None)
+            weights = rule.step(weights, gradient)
+    for workers in (1, 4):
+        model = SynchronousMLP(**common, numWorkers=workers).fit(vectors)
+        assert np.abs(model.weights - weights).max() < 1e-5
+        assert len(model.history) == 2
+
+
+def test_learns_and_reports_the_held_out_rows(vectors):
+    model = SynchronousMLP(layers=LAYERS, epochs=8, batchSize=2500, numWorkers=4, settings={"rate": 0.05}).fit(vectors)
+    assert model.history[-1]["loss"] < model.history[0]["loss"] and model.history[-1]["validation_accuracy"] > 0.5
+    assert metrics.micro_precision(model.transform(vectors)).first()["precision"] > 0.5
+
+
+def test_tasks_without_rows_keep_in_step(vectors):
+    few = vectors.orderBy("vec_id").limit(5)
+    models = [SynchronousMLP(layers=LAYERS, batchSize=2, numWorkers=w, validationSplit=0.0).fit(few) for w in (1, 4)]
+    assert np.abs(models[0].weights - models[1].weights).max() < 1e-5
+    with pytest.raises(ValueError, match="no rows"):
+        SynchronousMLP(layers=LAYERS, numWorkers=2, validationSplit=0.0).fit(few.limit(0))
+    with pytest.raises(ValueError, match="dropout"):
+        SynchronousMLP(layers=LAYERS, dropout=0.5).fit(few)
+
+
+@pytest.mark.parametrize("kind", [DistributedMLP, SynchronousMLP])
+@pytest.mark.parametrize("optimizer", ["adadelta", "adam"])
+def test_a_stopped_job_goes_on(vectors, tmp_path, kind, optimizer):
+    few = vectors.filter("vec_id < 800").repartition(3)
+    common = {"layers": LAYERS, "optimizer": optimizer, "numWorkers": 3, "batchSize": 400}
+    whole = kind(epochs=4, **common).fit(few)
+    folder = str(tmp_path / "rounds")
+    kind(epochs=2, roundsFolder=folder, **common).fit(few)
+    (tmp_path / "rounds" / "round-000003").mkdir()  # a round that was not written whole
+    resumed = kind(epochs=4, roundsFolder=folder, **common).fit(few)
+    assert np.abs(resumed.weights - whole.weights).max() < 1e-6
+    assert [h["round"] for h in resumed.history] == [1, 2, 3, 4]
+    assert resumed.history[-1]["loss"] == pytest.approx(whole.history[-1]["loss"], rel=1e-5)
+    again = kind(epochs=4, roundsFolder=folder, **common).fit(few)
+    assert (again.weights == resumed.weights).all()
+    with pytest.raises(ValueError, match="other layers"):
+        kind(epochs=4, roundsFolder=folder, **common | {"layers": [64, 4]}).fit(few)
+
+
+def test_all_rows_of_a_task_as_one_batch(vectors):
+    settings = {"layers": LAYERS, "optimizer": "plain", "localOptimizer": "plain", "dropout": 0.0, "validationSplit": 0.0}
+    models = [
+        DistributedMLP(**settings, batchSize=size, numWorkers=workers).fit(vectors)
+        for size, workers in ((0, 1), (0, 4), (10**6, 1))
+    ]
+    for other in models[1:]:
+        assert np.abs(models[0].weights - other.weights).max() < 1e-5
+    assert np.abs(models[0].weights - train_step(vectors)).max() < 1e-5
+
+
+def train_step(vectors):
+    rows = vectors.collect()
+    x, y = np.array([r["features"] for r in rows], np.float32), np.array([int(r["label"]) for r in rows])
+    start = network.initial_weights(LAYERS, 1)
+    return start - network.loss_and_gradient(start, LAYERS, x, y, 0.0, None)[1]
+
+
+def test_scores_like_any_model(vectors):
+    model = SynchronousMLP(layers=LAYERS, batchSize=256, numWorkers=2)
+    assert train_and_score(vectors, model, "vec_id").filter(F.col("prediction").isNull()).count() == 0
