@@ -15,7 +15,8 @@ from callsieve.shipping import ship_package
 
 WORDS = 3
 PERCENT = 90
-FRAGMENT_BITS = 3
+# A quarter of a set's n-grams is nearly always enough for its prefix, a tenth, to leave out the frequent ones among them.
+FRAGMENT_BITS = 2
 FRAGMENTS = 1 << FRAGMENT_BITS
 CELL = 24  # sets that share an n-gram of their prefixes: up to here each is paired with each
 # At most this many n-grams have more than one part in this many of all rows; those are broadcast.
