@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -52,11 +53,22 @@ class PrefixCounter:
         self.scores = {p: s for p, s in pieces.items() if not p.startswith(SPACE * 2)}
         self.made: dict[str, tuple[float, str, str]] = {}
         self.tokens = {p for p in self.scores if self.is_reached(p)}
-        self.longest = max(map(len, self.tokens))
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.units: dict[str, np.ndarray] = {}
+        self.backwards = self.backward_trie()
+        self.pairs: dict[str, dict[str, bool]] = {}  # by the left and the right token
+        self.n_pairs = 0
+        self.units: dict[str, bytes] = {}
         self.totals: dict[str, int] = {}
 
+    def backward_trie(self) -> dict:
+        """All tokens from their last character to their first, as nested dicts; a token ends under ""."""
+        trie: dict = {}
+        for token in self.tokens:
+            node = trie
+            for character in reversed(token):
+                node = node.setdefault(character, {})
+            node[""] = token
+        return trie
+
     def is_reached(self, piece: str) -> bool:
         """Whether the merge rules give this piece for its own text; keeps the last merge that makes it."""
         if len(piece) == 1:
@@ -101,11 +113,11 @@ class PrefixCounter:
         two parts then at the border would have been joined before that merge. Of merges of equal score the
         left one comes first.
         """
-        key = (left, right)
-        known = self.pairs.get(key)
+        known = self.pairs.setdefault(left, {}).get(right)
         if known is not None:
             return known
-        before, strict, known = float("inf"), True, True
+        key, known = (left, right), True
+        before, strict = float("inf"), True
         while True:
             score = self.scores.get(left + right)
             if score is not None and (-score < before or (not strict and -score == before)):
@@ -118,56 +130,73 @@ class PrefixCounter:
                 before, strict, left = a[0], True, a[2]
             else:
                 before, strict, right = b[0], False, b[1]
-        if len(self.pairs) > 2 * CACHE_UNITS:
-            self.pairs.clear()
-        self.pairs[key] = known
+        self.n_pairs += 1
+        if self.n_pairs > 2 * CACHE_UNITS:
+            self.n_pairs = 0
+            for beside in self.pairs.values():
+                beside.clear()
+        self.pairs[key[0]][key[1]] = known
         return known
 
     def word(self, text: str) -> tuple[list[int], list[str]]:
         """For each prefix of a unit with at most one space in front: its count, and its last token."""
-        counts, last = [0], [""]
-        tokens, longest, apart = self.tokens, self.longest, self.apart
+        counts, last, beside = [0], [""], [{}]  # `beside`: what is known of each last token's pairs
+        trie, pairs, apart = self.backwards, self.pairs, self.apart
         for end in range(1, len(text) + 1):
-            for start in range(max(0, end - longest), end):
-                token = text[start:end]
-                if token in tokens and (not start or apart(last[start], token)):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
+            node, start = trie, end
+            while start:
+                start -= 1
+                node = node.get(text[start])
+                if node is None:
+                    start = -1
+                    break
+                token = node.get("")
+                if token is None:
+                    continue
+                if not start:
+                    break
+                known = beside[start].get(token)
+                if known is None:
+                    known = apart(last[start], token)
+                if known:
                     break
-            else:  # a character that is not in the vocabulary is written as its bytes
-                token = text[end - 1]
-                counts.append(counts[end - 1] + len(token.encode(errors="surrogatepass")))
-                last.append(token)
+            else:
+                start = -1
+            if start < 0:  # a character that is not in the vocabulary is written as its bytes
+                token, start = text[end - 1], end - 1
+                counts.append(counts[start] + len(token.encode(errors="surrogatepass")))
+            else:
+                counts.append(counts[start] + 1)
+            last.append(token)
+            beside.append(pairs.get(token) or pairs.setdefault(token, {}))
         return counts[1:], last[1:]
 
-    def unit(self, text: str) -> np.ndarray:
-        """Counts of the prefixes of one unit: spaces and a word, only spaces, or a line end.
+    def unit(self, text: str) -> bytes:
+        """Counts of the prefixes of one unit, as unsigned ints: spaces and a word, only spaces, or a line end.
 
         Runs of spaces are joined after everything else, by the longest runs in the vocabulary. The last
         space belongs to the word if that takes it.
         """
-        counts = self.units.get(text)
-        if counts is not None:
-            return counts
         word = text.lstrip(SPACE)
         spaces = len(text) - len(word)
-        run = self.run_tokens(np.arange(1, spaces + 1))
-        if not word:
-            counts = run
-        elif not spaces:
-            counts = np.array(self.word(word)[0])
+        if spaces <= 1 and word:
+            made = array("I", self.word(text)[0]).tobytes()
         else:
-            found = np.array(self.word(SPACE + word)[0][1:])
-            # The first token of a prefix is the space alone until some prefix takes it.
-            alone = np.array([self.space_alone(SPACE + word[: i + 1]) for i in range(len(word))]) if spaces > 1 else 0
-            before, joined = self.run_tokens(np.array([spaces - 1, spaces])) - [0, 1]
-            counts = np.concatenate([run, found + np.where(alone, joined, before)])
+            counts = self.run_tokens(np.arange(1, spaces + 1))
+            if not spaces:
+                counts = np.array(self.word(word)[0])
+            elif word:
+                found = np.array(self.word(SPACE + word)[0][1:])
+                # The first token of a prefix is the space alone until some prefix takes it.
+                alone = np.array([self.space_alone(SPACE + word[: i + 1]) for i in range(len(word))])
+                before, joined = self.run_tokens(np.array([spaces - 1, spaces])) - [0, 1]
+                counts = np.concatenate([counts, found + np.where(alone, joined, before)])
+            made = counts.astype(np.uint32).tobytes()
         if len(self.units) > CACHE_UNITS:
             self.units.clear()
-        counts = counts.astype(np.uint32)
         if len(text) <= CACHED_LENGTH:
-            self.units[text] = counts
-        return counts
+            self.units[text] = made
+        return made
 
     def space_alone(self, text: str) -> bool:
         """Whether the tokens of a text with one leading space begin with the space itself."""
@@ -187,7 +216,7 @@ class PrefixCounter:
         for piece in set(pieces).difference(totals):
             spaces = len(piece) - len(piece.lstrip(SPACE))
             one = piece == "\n" or spaces == len(piece) or spaces > 1
-            totals[piece] = int(self.unit(piece)[-1]) if one else self.word(piece)[0][-1]
+            totals[piece] = int(np.frombuffer(self.unit(piece), np.uint32)[-1]) if one else self.word(piece)[0][-1]
         return sum(map(totals.__getitem__, pieces))
 
     def prefixes(self, text: str) -> np.ndarray:
@@ -195,12 +224,11 @@ class PrefixCounter:
         if not text:
             return np.zeros(0, np.uint32)
         pieces = UNITS.findall(SPACE + text.replace(" ", SPACE))
-        known = {p: self.unit(p) for p in set(pieces)}
-        parts = list(map(known.__getitem__, pieces))
-        counts = np.concatenate(parts)
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        known, unit = self.units.get, self.unit
+        counts = np.frombuffer(b"".join([known(p) or unit(p) for p in pieces]), np.uint32)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         own = counts[np.cumsum(lengths) - 1]
-        counts += np.repeat(np.cumsum(own, dtype=np.uint32) - own, lengths)
+        counts = counts + np.repeat(np.cumsum(own, dtype=np.uint32) - own, lengths)
         return counts[1:]  # without the space that the library puts in front
 
 
