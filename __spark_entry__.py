@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 from types import ModuleType
@@ -26,10 +27,11 @@ from callsieve.ml import features, metrics, split  # noqa: E402
 from callsieve.ml.mlp import DistributedMLP, DistributedMLPModel  # noqa: E402
 from callsieve.ml.synchronous import SynchronousMLP  # noqa: E402
 from callsieve.operators import calls, history  # noqa: E402
+from callsieve.operators.checkpoints import use_checkpoint_dir  # noqa: E402
 from callsieve.operators.endpoint_join import either_endpoint_join  # noqa: E402
 from callsieve.operators.groups import MAX_ROWS  # noqa: E402
 from callsieve.plans import image_classifier, stored_traffic, suspect_traffic  # noqa: E402
-from callsieve.sources import derived, tables  # noqa: E402
+from callsieve.sources import day_states, derived, tables  # noqa: E402
 from callsieve.sources.leg_table import LegTable, write_leg_table  # noqa: E402
 
 try:  # the training-data operators are an add-on: without their folder, everything else works
@@ -86,6 +88,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdr_table_session_rollup": lambda s, d: stored_traffic.stored_sessions(_leg_table(s, d), RULES),
         "cdr_table_heavy_callers": lambda s, d: stored_traffic.stored_heavy_callers(_leg_table(s, d), RULES),
         "cdr_table_suspect_traffic": lambda s, d: stored_traffic.stored_suspect_traffic(_leg_table(s, d), RULES),
+        "cdr_day_sessions": lambda s, d: day_states.sessions_of_days(s, _day_states(s, d)),
+        "cdr_day_suspect_traffic": lambda s, d: day_states.suspect_traffic_of_days(s, _day_states(s, d), RULES, RULES.day),
         "safe_bigint": _safe_bigint,
         "duration_expr": _duration_expr,
         "regex_replace_all": _regex_replace_all,
@@ -95,6 +99,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "call_history_by_phone_6": lambda s, d: _history_rows(s, d, history.CALL_FIELDS_WITHOUT_EVENT),
         "call_history_in_parts": _history_in_parts,
         "call_history_json": _history_json,
+        "call_history_variant": _history_variant,
         "py_scalar_sql": _py_scalar_sql,
         "py_scalar_add": _py_scalar_add,
         "py_module_udf": _py_module_udf,
@@ -118,6 +123,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ml_validation_split": lambda s, d: split.with_part(
             _vectors(s, d).select("vec_id"), "vec_id", 0.1, "validation", "fit", start=0.1
         ),
+        "ml_exact_split": lambda s, d: split.with_exact_part(
+            _vectors(s, d).select("vec_id", "label"), "vec_id", "label", 0.1
+        ),
         "ml_row_counts": _ml_row_counts,
         "ml_confusion": lambda s, d: metrics.confusion(_rule_predictions(s, d)),
         "ml_precision_micro": lambda s, d: metrics.micro_precision(_gappy_predictions(s, d)),
@@ -157,6 +165,17 @@ def _leg_table(spark: SparkSession, sf_dir: str) -> LegTable:
     return _leg_tables[key]
 
 
+def _day_states(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with day states of the legs of the watched addresses, of which a tenth come late."""
+    use_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/day-states-{uuid.uuid4().hex}"
+    watched = _legs(spark, sf_dir).filter(F.col("dest_ne_ip").startswith(RULES.address_prefix))
+    late = F.col("callid").cast("long") % 10 == 7
+    day_states.write_day_states(watched.filter(~late), folder, RULES)
+    day_states.add_late_legs(watched.filter(late), folder, RULES)
+    return folder
+
+
 def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.calls(tables.read_table(spark, sf_dir, "events"))
 
@@ -288,6 +307,14 @@ def _history_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collected.select("phone1", "part", text.nested_json(F.col("calls")).alias("calls"))
 
 
+def _history_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The callee and the seconds of every call, read by path from histories written as VARIANT values."""
+    use_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/variant-history-{uuid.uuid4().hex}"
+    history.variant_history(history.collect_history(_calls(spark, sf_dir))).write.parquet(folder)
+    return history.variant_rows(spark.read.parquet(folder), {"phone2": "string", "callDuration": "string"})
+
+
 def _py_scalar_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     python_udfs.register_function(spark, "py_add", _user_module(spark).add, "long")
     return spark.sql(

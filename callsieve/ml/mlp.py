@@ -33,6 +33,7 @@ from callsieve.functions.python_udfs import matrix_rows
 from callsieve.ml import network
 from callsieve.ml.optimizers import OPTIMIZERS, restore, state
 from callsieve.ml.split import content_point
+from callsieve.operators.checkpoints import is_written
 from callsieve.shipping import ship_package
 
 BLOCK = 4096  # weights per row when tasks hand their change back
@@ -207,7 +208,7 @@ class DistributedMLP(
             return weights, rule, []
         for round_no in range(self.getOrDefault(self.epochs), 0, -1):
             folder = f"{self.getOrDefault(self.roundsFolder)}/round-{round_no:06d}"
-            if not _is_whole(spark, folder):
+            if not is_written(spark, folder):
                 continue
             kept = {r["name"]: r for r in spark.read.parquet(folder).collect()}
             if len(kept["weights"]["values"]) != len(weights):
@@ -249,12 +250,6 @@ class DistributedMLP(
         return {r["block"]: r["mean"].toArray() for r in means.collect()}
 
 
-def _is_whole(spark: SparkSession, folder: str) -> bool:
-    """Whether Spark has finished writing a table to `folder`."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
-
 class DistributedMLPModel(Model, _NetworkParams, MLReadable, MLWritable):
     """The trained network. `history` has each round's losses; `probability` is an array of doubles.
 

@@ -17,7 +17,8 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not sc.master.startswith("local"):
+        # The executors of a local cluster are processes of their own, as on a real one.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="callsieve-checkpoint-")
     sc.setCheckpointDir(folder)
@@ -37,6 +38,16 @@ def remove_checkpoints(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def is_written(spark: SparkSession, folder: str) -> bool:
+    """Whether Spark has finished writing a table to `folder`."""
+    return exists(spark, f"{folder}/_SUCCESS")
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """What all rows of `df` take as a broadcast hash table, at most; 0 for no rows. This computes `df`."""
     size = F.lit(ROW_OVERHEAD_BYTES)

@@ -56,6 +56,30 @@ def collect_history(
     )
 
 
+def variant_history(histories: DataFrame, name: str = "calls") -> DataFrame:
+    """Collected histories with each as one VARIANT value: a typed list of objects that need no schema to be read.
+
+    Fields keep their types. Written to Parquet, the value is shredded if the session writes so
+    (`spark.sql.variant.writeShredding.enabled`), and `variant_rows` reads single fields of it by their paths.
+    """
+    kept = [c for c in histories.columns if c != name]
+    return histories.select(*kept, F.to_variant_object(name).alias(name))
+
+
+def variant_rows(histories: DataFrame, fields: dict[str, str], name: str = "calls") -> DataFrame:
+    """The calls of VARIANT histories, one per row: the other columns, `pos`, and the `fields` (name to type) by path.
+
+    A field that a call does not have, or that is null there, is NULL; one of another type is an error.
+    """
+    kept = [c for c in histories.columns if c != name]
+    read = ", ".join(f"variant_get(call.value, '$.{field}', '{kind}') as {field}" for field, kind in fields.items())
+    columns = ", ".join(f"`{c}`" for c in kept)
+    return histories.sparkSession.sql(
+        f"select {columns}, call.pos as pos, {read} from {{histories}}, lateral variant_explode(`{name}`) as call",
+        histories=histories,
+    )
+
+
 def score_by_key(
     rows: DataFrame,
     key: str,

@@ -198,6 +198,9 @@ group by calling_number, called_number, callid""",
         "cdr_table_session_rollup": f"with {LEGS}, {TODAY}, {rollup('today')} select * from sessions",
         "cdr_table_heavy_callers": f"with {LEGS}, {TODAY}, {HEAVY} select * from heavy",
         "cdr_table_suspect_traffic": SUSPECT_TRAFFIC,
+        "cdr_day_sessions": f"""with {LEGS}, watched as (select * from legs where dest_ne_ip like '10.14%'),
+{rollup("watched")} select * from sessions""",
+        "cdr_day_suspect_traffic": SUSPECT_TRAFFIC,
         "safe_bigint": f"""select event_id, txt, {bigint("txt")} as number from (
   select event_id, case event_id % 13
     when 0 then n when 1 then ' ' || n || ' ' when 2 then n || '.7' when 3 then '-' || n || '.7'
@@ -217,6 +220,9 @@ group by calling_number, called_number, callid""",
         "call_history_in_parts": history(
             'phone2, call_event, phone1_type, phone2_type, "callDuration", hours', 25
         ),
+        "call_history_variant": "select phone1, part, pos, phone2, \"callDuration\" from ("
+        + history('phone2, call_event, phone1_type, phone2_type, "callDuration", hours')
+        + ")",
         "call_history_json": f"""with {CALLS}
 select phone1, cast(0 as integer) as part, cast(to_json(list(c order by phone2 nulls first, call_event,
   phone1_type, phone2_type, "callDuration", hours)) as varchar) as calls
@@ -257,6 +263,12 @@ from embeddings""",
         "ml_validation_split": f"""select vec_id,
   case when {SPLIT_POINT} >= 0.1 and {SPLIT_POINT} < 0.2 then 'validation' else 'fit' end as part
 from embeddings""",
+        "ml_exact_split": f"""select vec_id, label, case when place <= floor(n * 0.1::double + 0.5) then 'test' else 'train' end as part
+from (
+  select vec_id, label, row_number() over (partition by label order by {SPLIT_POINT}, vec_id) as place,
+    count(*) over (partition by label) as n
+  from embeddings
+)""",
         "ml_row_counts": f"""select part, count(*) as n from (
   select case when {SPLIT_POINT} < 0.1 then 'test' else 'train' end as part from embeddings
 ) group by part""",
