@@ -117,10 +117,10 @@ PAGE_LINES = rf"""with cut as materialized (
     sum(p * n) over () as weighted
   from histogram
 ), cuts as (
-  select p + 1 as at, pow(sum_below * total - weighted * below, 2) / (below * (total - below)) as gap
+  select p + 1 as start, pow(sum_below * total - weighted * below, 2) / (below * (total - below)) as gap
   from sides where below < total
 ), best as (
-  select greatest(2, least(10, coalesce((select arg_min(at, (-gap, at)) from cuts where gap > 0), 10))) as percent
+  select greatest(2, least(10, coalesce((select start from cuts where gap > 0 order by gap desc, start limit 1), 10))) as percent
 ), often as (
   select host, list(line) as gone from shares where pages * 100 >= all_pages * (select percent from best) group by host
 ), everywhere as (
