@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
+from callsieve.llm.shared import fresh
 from callsieve.llm.words import Words, find_words, powers, text_slices, window_hashes
 from callsieve.shipping import ship_package
 
@@ -169,15 +168,14 @@ def measured(docs: DataFrame) -> DataFrame:
     names = [f.split()[0] for f in MEASURES.split(", ")]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in names])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                columns = [pa.array(c, pa.int64()) for c in text_measures(batch.column(text_at))]
-                yield pa.RecordBatch.from_arrays(batch.columns + columns, batch.schema.names + names)
+    def measure(texts: pa.Array) -> pa.Array:
+        columns = text_measures(texts) if len(texts) else [()] * len(names)
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    text_at = docs.columns.index("text")
-    schema = T.StructType(docs.schema.fields + [T.StructField(name, T.LongType()) for name in names])
-    return docs.mapInArrow(run, schema)
+    # Only texts go to Python and only figures come back; the other columns stay where they are.
+    (made,) = fresh(docs, "_measures")
+    found = docs.withColumn(made, F.arrow_udf(measure, MEASURES)("text"))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"{made}.{name}") for name in names])
 
 
 def judged(docs: DataFrame) -> DataFrame:
