@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callsieve.llm.components import components
 from callsieve.llm.shared import broadcast_if_small, fresh, stored
-from callsieve.llm.words import find_words, mix, powers, text_slices, window_hashes
+from callsieve.llm.words import find_words, give_back_memory, mix, powers, text_slices, window_hashes
 from callsieve.shipping import ship_package
 
 WORDS = 5
@@ -88,6 +88,7 @@ def shingled(docs: DataFrame) -> DataFrame:
             sizes, keys, marks = zip(*found, strict=True) if found else ((), (), ())
             made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names)
+            give_back_memory()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(run, SETS)
@@ -124,6 +125,8 @@ def neighbours(sets: DataFrame) -> DataFrame:
                 first += rows[: NEIGHBOURS - len(first)]
             yield paired(held + rows, len(held))
             held = (held + rows)[-NEIGHBOURS:]
+            del rows
+            give_back_memory()
         edge = dict.fromkeys(first + held)
         columns = list(zip(*edge, strict=True)) or [(), (), (), ()]
         kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64()]
@@ -193,6 +196,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 good.append(100 * common >= PERCENT * (len(first) + len(second) - common))
             pairs = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
             yield pairs.filter(pa.array(good, pa.bool_()))
+            give_back_memory()
 
     return both.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
 
@@ -267,6 +271,7 @@ def links_of_large_regions(rows: DataFrame, sets: DataFrame, docs: DataFrame) ->
                 found = list(joining_links(*sides))
                 a, b = zip(*found, strict=True) if found else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                give_back_memory()
 
     return pairs.select("left_sets", "right_sets").mapInArrow(run, "a binary, b binary")
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from callsieve.llm.shared import stored
 from callsieve.llm.tokens import token_ids
+from callsieve.llm.words import give_back_memory
 from callsieve.shipping import ship_package
 
 MAX_LENGTH = 1024
@@ -61,6 +62,7 @@ def cut(docs: DataFrame, max_length: int = MAX_LENGTH, tokenizer: str | None = N
                 if size > OUT_BYTES or len(rows) > 20_000:
                     yield batch()
                     rows, size = [], 0
+            give_back_memory()
         if rows:
             yield batch()
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from callsieve.llm.shared import fresh
-from callsieve.llm.words import Words, find_words, powers, text_slices, window_hashes
+from callsieve.llm.words import Words, find_words, give_back_memory, powers, text_slices, window_hashes
 from callsieve.shipping import ship_package
 
 MIN_WORDS = 50
@@ -170,6 +170,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
     def measure(texts: pa.Array) -> pa.Array:
         columns = text_measures(texts) if len(texts) else [()] * len(names)
+        give_back_memory()
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     # Only texts go to Python and only figures come back; the other columns stay where they are.

@@ -5,6 +5,7 @@ A word is a run of bytes other than ASCII white space. Hashes are 64 bits wide.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,6 +16,14 @@ SLICE_BYTES = 1 << 18  # what is computed on a slice then stays in a core's cach
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system: Python workers live on from task to task, and keep what they once held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
