@@ -22,7 +22,9 @@ LEVELS = 5
 LEAST = 3
 NEIGHBOURS = 2
 SMALL_REGION = 24
+# What a block of sets may hold on average; a longer set still is in one block.
 BLOCK_SETS = 512
+BLOCK_SHINGLES = 512 * BLOCK_SETS
 # Pairs whose signatures agree in under 0.54 of 100 places are not looked at: for a pair at the limit that
 # is almost five standard deviations off.
 LEAST_AGREEMENT = 0.54
@@ -232,31 +234,45 @@ def links_of_large_regions(rows: DataFrame, sets: DataFrame, docs: DataFrame) ->
     """Links `a, b` that join the components in large open regions, from comparing whole sets; None without such regions.
 
     Regions with sets in common form a cluster. Its largest component needs no look inside; the sets outside it
-    are compared with all sets of the cluster, exactly, a block of sets against a block at a time. Of the links between
-    two blocks those that join components are given out, at most one per component.
+    are compared with all sets of the cluster, exactly, a block of sets against a block at a time. Blocks are bounded by
+    their sets and by the shingles in them, so long texts lie in blocks of few. Of the links between two blocks those
+    that join components are given out, at most one per component.
     """
     large = rows.filter(F.col("members") > SMALL_REGION)
     if large.isEmpty():
         return None
     ends = large.select(F.unhex(F.hex("region")).alias("a"), F.col("set_key").alias("b"))
     clusters = components(ends).toDF("set_key", "cluster")
-    members = stored(large.select("set_key", "component").distinct().join(clusters, "set_key"))
-    counts = members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("cluster").agg(
-        F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("outside"), F.max_by("component", "n").alias("main")
+    members = stored(large.select("set_key", "component", "n_shingles").distinct().join(clusters, "set_key"))
+    counts = members.groupBy("cluster", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles")
+    )
+    sums = counts.groupBy("cluster").agg(
+        F.sum("n").alias("n"),
+        F.sum("shingles").alias("shingles"),
+        F.max_by(F.struct("component", "n", "shingles"), F.struct("n", "component")).alias("main"),
+    )
+
+    def block_count(n: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES))
+
+    n, shingles = F.col("n"), F.col("shingles")
+    sizes = sums.select(
+        "cluster",
+        block_count(n, shingles).alias("all"),
+        block_count(n - F.col("main.n"), shingles - F.col("main.shingles")).alias("outside"),
+        F.col("main.component").alias("main"),
     )
     texts = texts_of(members.select("set_key"), sets, docs)
     given = members.join(stored(sizes), "cluster").join(texts, "set_key")
 
     def blocks(of: DataFrame, size: str, name: str) -> DataFrame:
-        number = F.ceil(F.col(size) / BLOCK_SETS)
-        block = F.pmod(F.xxhash64("set_key"), number).alias(name)
-        keys = of.groupBy("cluster", block, number.alias("blocks"))
+        keys = of.groupBy("cluster", F.pmod(F.xxhash64("set_key"), F.col(size)).alias(name))
         return keys.agg(F.collect_list(F.struct("set_key", "component", "text")).alias(f"{name}_sets"))
 
-    every = blocks(given, "all", "right").drop("blocks")
+    every = blocks(given, "all", "right")
     outside = given.filter(F.col("component") != F.col("main"))
-    target = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("all") / BLOCK_SETS) - 1)).alias("right")
+    target = F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)).alias("right")
     outside = blocks(outside, "outside", "left").join(sizes.select("cluster", "all"), "cluster").select("*", target)
     pairs = outside.join(every, ["cluster", "right"]).repartition("cluster", "left", "right")
 

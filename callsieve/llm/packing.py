@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from callsieve.llm.shared import stored
+from callsieve.llm.shared import broadcast_if_small, first_numbers, stored
 from callsieve.llm.tokens import token_ids
 from callsieve.llm.words import give_back_memory
 from callsieve.shipping import ship_package
@@ -75,20 +75,13 @@ def packed(pieces: DataFrame) -> DataFrame:
     All sequences of the longest length come first, then those of half that length, and so on, so any
     run of ids is a bucket from which batches of equal length can be drawn. As lengths are powers of
     two, nothing is padded, no sequence holds two documents, and offsets are 0. Pieces are stored
-    once, with their numbers within task and length; only the counts per task and length are brought
-    together. No piece is shuffled, and columns such as `ids` stay with their rows.
+    once, with their numbers within task and length; only the counts per task and length are shuffled.
+    While those are small enough to broadcast no piece is shuffled, and columns such as `ids` stay with their rows.
     """
     table = stored(pieces)
-    counts = sorted(
-        ((-length, part, n) for part, length, n in table.groupBy("part", "length").count().collect())
-    )
-    first, total = [], 0
-    for length, part, n in counts:
-        first.append((part, -length, total))
-        total += n
-    firsts = table.sparkSession.createDataFrame(first, "part int, length long, first long")
+    firsts = first_numbers(table.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")))
     return (
-        table.join(F.broadcast(firsts), ["part", "length"])
+        table.join(broadcast_if_small(firsts), ["part", "length"])
         .withColumn("sequence_id", F.col("first") + F.col("place"))
         .withColumn("offset", F.lit(0).cast("long"))
         .drop("part", "place", "first")

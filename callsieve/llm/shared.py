@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from callsieve.operators.checkpoints import BROADCAST_BYTES, size_in_bytes, use_checkpoint_dir
 
 # One word: a run of bytes that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+# Parts whose counts one window of `first_numbers` adds up.
+PARTS_AT_ONCE = 4096
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -25,6 +27,21 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def first_numbers(counts: DataFrame) -> DataFrame:
+    """`part, length, first` from `part, length, n`, stored: how many rows come before a part's rows of a length.
+
+    Longer lengths come first, and within one the parts in order. Counts are added up in runs of `PARTS_AT_ONCE`
+    parts; only the sums of the runs, one for each run and length, go through one task.
+    """
+    runs = counts.withColumn("run", F.floor(F.col("part") / PARTS_AT_ONCE))
+    within = Window.partitionBy("length", "run").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy(F.col("length").desc(), "run").rowsBetween(Window.unboundedPreceding, -1)
+    sums = runs.groupBy("length", "run").agg(F.sum("n").alias("all"))
+    sums = sums.select("length", "run", F.coalesce(F.sum("all").over(across), F.lit(0)).alias("before"))
+    own = runs.withColumn("own", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    return stored(own.join(sums, ["length", "run"]).select("part", "length", (F.col("before") + F.col("own")).alias("first")))
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """`df` with a broadcast hint if its measured size allows it; otherwise as it is, for a shuffled join."""
     return F.broadcast(df) if size_in_bytes(df) <= BROADCAST_BYTES else df
@@ -56,26 +73,5 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def numbered(df: DataFrame, by: list[str], name: str) -> DataFrame:
-    """`df` with a dense number from 0 in the order of `by`.
-
-    Rows are range-partitioned and sorted, kept in a checkpoint so that the order stays as it is, and
-    counted per partition. Only one count per partition is broadcast.
-    """
-    use_checkpoint_dir(df.sparkSession)
-    place, part, first = fresh(df, "_place", "_part", "_first")
-    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by).checkpoint()
-    ordered = ordered.withColumn(place, F.monotonically_increasing_id())
-    counts = ordered.groupBy(F.shiftright(place, 33).alias(part)).agg(F.count(F.lit(1)).alias("n")).collect()
-    total, rows = 0, []
-    for p, n in sorted(counts):
-        rows.append((p, total))
-        total += n
-    starts = df.sparkSession.createDataFrame(rows, f"{part} long, {first} long")
-    number = F.col(first) + F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
-    joined = ordered.withColumn(part, F.shiftright(place, 33)).join(F.broadcast(starts), part)
-    return joined.withColumn(name, number).drop(part, first, place)
-
-
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

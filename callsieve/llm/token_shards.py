@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from callsieve.llm.packing import OUT_BYTES
-from callsieve.llm.shared import stored
+from callsieve.llm.shared import broadcast_if_small, first_numbers, stored
 from callsieve.llm.tokens import VOCABULARY, token_ids
 from callsieve.shipping import ship_package
 
@@ -99,19 +99,17 @@ def slotted(table: DataFrame, key: int) -> DataFrame:
     """A stored table of sequences with `slot`, the place of each in the training order.
 
     A sequence's number is its place in its task's part of the stored table after all earlier parts; the
-    counts per part are all that is brought together. The slot is the keyed permutation of that number.
+    counts per part are all that is shuffled for it. The slot is the keyed permutation of that number.
     """
-    first, total = [], 0
-    for part, n in sorted(table.groupBy("part").count().collect()):
-        first.append((part, total))
-        total += n
-    firsts = table.sparkSession.createDataFrame(first, "part int, first long")
+    total = table.count()
+    counts = table.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    firsts = first_numbers(counts.withColumn("length", F.lit(0))).select("part", "first")
 
     @F.pandas_udf(T.LongType())
     def slot(numbers: pd.Series) -> pd.Series:
         return pd.Series(permuted(numbers.to_numpy(), total, key))
 
-    numbered = table.join(F.broadcast(firsts), "part")
+    numbered = table.join(broadcast_if_small(firsts), "part")
     return numbered.withColumn("slot", slot(F.col("first") + F.col("place"))).drop("part", "place", "first")
 
 

@@ -65,6 +65,22 @@ def test_a_large_group_of_near_copies(documents, monkeypatch, small):
     assert found(near_dedup.near_duplicates(documents(rows)).collect()) == brute_force(rows)
 
 
+def test_blocks_are_bounded_by_shingles(documents, monkeypatch):
+    """Long near copies, among short ones, in blocks of a few sets."""
+    monkeypatch.setattr(near_dedup, "SMALL_REGION", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 2000)
+    draw = random.Random(5)
+    rows = []
+    for size, copies in ((900, 25), (30, 40)):
+        base = [draw.choice("abcd") + str(i) for i in range(size)]
+        for _ in range(copies):
+            words = list(base)
+            for _ in range(draw.randint(0, size // 40)):
+                words[draw.randrange(size)] = f"new{draw.random()}"
+            rows.append((len(rows), " ".join(words)))
+    assert found(near_dedup.near_duplicates(documents(rows)).collect()) == brute_force(rows)
+
+
 def test_short_and_odd_texts(documents):
     rows = [
         (9, "One two"), (3, "one TWO"), (5, "one two three"), (7, None), (8, ""), (6, " \n"), (4, "ÀB c d e f"),
