@@ -29,17 +29,28 @@ def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
+    """One document of each near-duplicate group, the one with the smallest id.
+
+    Documents with a null, empty or blank text have no shingles and all stay. Equal rows are kept once; of different
+    texts with one id in a group, that with the smallest hash stays. Texts are compared whole, however long.
+    """
     return near_dedup.deduplicated(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it, whole.
+
+    A null source is a source of its own. A document without words counts as size 0 and is taken by its source's rate
+    like the others; a source without any words gives no rows. Equal rows are taken equally often.
+    """
     return mixing.emitted(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed pieces, ids included."""
+    """The packed pieces, ids included: every row of the mix is a document of its own, a null text one id 0.
+
+    Of the other columns, `doc_id` alone is carried over; a null id stays null. No documents, no pieces.
+    """
     pieces = packing.cut(docs).withColumn("ids_crc32", F.crc32("ids"))
     return packing.packed(pieces).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"

@@ -31,6 +31,13 @@ def test_against_counting(spark, documents):
     assert any(e[2] for e in expected) and any(e[2] < 8 for e in expected)
 
 
+def test_a_very_long_text(documents):
+    long = "menu\n" + "\n".join(f"line {i}" for i in range(200_000)) + "\nmenu"
+    pages = [(0, long, "a")] + [(i, f"menu\nown {i}", "a") for i in range(1, 9)]
+    rows = {d: (n, gone, t) for d, n, gone, t in rows_of(line_dedup.without_boilerplate(documents(pages)))}
+    assert rows[0] == (200_002, 2, long[5:-5]) and rows[3] == (2, 1, "own 3")
+
+
 def test_odd_rows(documents):
     docs = documents([(1, None, None), (None, "", "a"), (2, "x", "a"), (2, "x", "a"), (3, "\n" * 1000, "a")])
     docs = docs.selectExpr("*", "1 as N_LINES", "2 as line", "3 as host", "4 as lines")

@@ -58,6 +58,20 @@ def test_rows_are_emitted_as_often_as_taken(documents):
     assert counts == {d: n for d, n in taken.items() if n}
 
 
+def test_ties_and_a_very_long_text(documents):
+    """Equal rows fare alike, and so do all draws of a source whose rate is whole: the first one is used."""
+    long = "w " * 300_000
+    docs = documents([(1, long, "a"), (1, long, "a"), (2, "x y", "b"), (2, "x y", "b"), (3, "x y", "b")])
+    rows = mixing.mixed(docs).collect()
+    for doc_id, size in ((1, 300_000), (2, 2)):
+        own = [r for r in rows if r["doc_id"] == doc_id]
+        assert len(own) == 2 and len({r["copies"] for r in own}) == 1 and {r["size"] for r in own} == {size}
+    # b may have three times its size at most, all draws agree on that
+    assert {r["copies"] for r in rows if r["source"] == "b"} == {3}
+    again = mixing.mixed(docs.repartition(3)).collect()
+    assert sorted((r["doc_id"], r["copies"]) for r in again) == sorted((r["doc_id"], r["copies"]) for r in rows)
+
+
 def test_odd_rows(documents):
     docs = documents([(1, None, "a"), (1, None, "a"), (None, "b c", None), (2, "", "b"), (3, "x", "b")])
     rows = mixing.mixed(docs).collect()

@@ -37,6 +37,20 @@ def test_stages_against_brute_force(spark):
     checked(once, {d: r["text"] for d, r in steps[2].items()}, library)
 
 
+def test_a_very_long_text_goes_through_whole(spark, documents):
+    long = "\n".join(" ".join(f"w{17 * i + j}" for j in range(20)) for i in range(20_000))
+    short = " ".join(f"s{i}" for i in range(60))
+    docs = documents([(1, long, "a"), (2, long + " end", "a"), (3, short, "b"), (3, short, "b")])
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, ""))
+    assert {(r["doc_id"], r["text"]) for r in docs.collect()} <= {(1, long), (3, short)}
+    copies = docs.filter("doc_id = 1").count()
+    assert copies >= 1
+    pieces = pipeline.STAGES[-1][1](spark, docs, "").filter("doc_id = 1")
+    tokens = {r["doc_tokens"] for r in pieces.select("doc_tokens").distinct().collect()}
+    assert len(tokens) == 1 and pieces.selectExpr("sum(length)").first()[0] == copies * tokens.pop() > 400_000
+
+
 def test_empty_and_odd_tables(spark, documents):
     for docs in (
         documents([]),

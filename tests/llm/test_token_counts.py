@@ -69,6 +69,12 @@ def test_odd_rows(documents):
     assert counts.token_counts(documents([])).count() == 0
 
 
+def test_columns_with_the_names_of_the_result(documents, library):
+    docs = documents([(1, "a b"), (2, "c d e")]).selectExpr("*", "9 as N_TOKENS", "8 as n_bytes", "'x' as prefix_tokens")
+    rows = {r["doc_id"]: (r["n_bytes"], r["n_tokens"]) for r in counts.over_limit(counts.counted_table(docs)).collect()}
+    assert rows == {1: (3, len(library.encode("a b"))), 2: (5, len(library.encode("c d e")))}
+
+
 def test_query_writes_and_reads_the_count_of_every_prefix(spark, library, monkeypatch):
     written = []
     kept = counts.stored

@@ -69,5 +69,21 @@ def test_odd_rows(documents):
     assert sum(r["length"] for r in rows if r["doc_id"] == 4) == len(token_ids("x" * 50_000))
 
 
+def test_columns_with_the_names_of_the_result(documents):
+    docs = documents([(i, f"text {i}") for i in range(20)])
+    docs = docs.selectExpr("*", "1 as SLOT", "2 as shard", "3 as part", "4 as place", "'x' as ids", "5 as length")
+    rows = shards.read_slots(shards.training_shards(docs, 1)).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(20)) and sorted(r["slot"] for r in rows) == list(range(20))
+
+
+def test_slots_do_not_depend_on_how_parts_are_numbered(spark):
+    """Each sequence's slot is the permutation of its place after all earlier parts, by a plain count."""
+    rows = [(part, place, part * 100 + place) for part in (0, 3, 7) for place in range(part + 2)]
+    table = stored(spark.createDataFrame(rows, "part int, place long, name long"))
+    found = {r["name"]: r["slot"] for r in shards.slotted(table, 11).collect()}
+    names = [name for *_, name in sorted(rows)]
+    assert found == dict(zip(names, shards.permuted(np.arange(len(names)), len(names), 11).tolist(), strict=True))
+
+
 def test_empty_table(documents):
     assert shards.read_slots(shards.training_shards(documents([]), 1)).count() == 0
