@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -93,3 +95,31 @@ def train_step(vectors):
 def test_scores_like_any_model(vectors):
     model = SynchronousMLP(layers=LAYERS, batchSize=256, numWorkers=2)
     assert train_and_score(vectors, model, "vec_id").filter(F.col("prediction").isNull()).count() == 0
+
+
+def test_many_small_steps_take_no_second_each(vectors):
+    few = vectors.filter("vec_id < 600").cache()
+    few.count()
+    estimator = SynchronousMLP(layers=LAYERS, batchSize=10, numWorkers=4, validationSplit=0.0)
+    start = time.monotonic()
+    model = estimator.fit(few)
+    assert time.monotonic() - start < 55  # 60 steps; a second each would be 60
+    one = SynchronousMLP(layers=LAYERS, batchSize=10, numWorkers=1, validationSplit=0.0).fit(few)
+    assert np.abs(model.weights - one.weights).max() < 1e-5
+
+
+def test_each_mini_batch_has_partitions_of_its_own(vectors):
+    few = vectors.filter("vec_id < 300").union(vectors.filter("vec_id = 7").crossJoin(vectors.sparkSession.range(200)).drop("id"))
+    estimator = SynchronousMLP(layers=LAYERS, batchSize=100, numWorkers=4, validationSplit=0.2)
+    rows, batches = estimator._batched_rows(few)
+    pieces, workers = estimator._pieces(rows, batches)
+    counts = [sum(len(labels) // 8 for _, labels in part) for part in pieces.glom().collect()]
+    wanted = {r["batch"]: r["count"] for r in rows.filter("not held_out").groupBy("batch").count().collect()}
+    assert workers == 4 and [sum(counts[4 * b : 4 * b + 4]) for b in range(batches)] == [wanted.get(b, 0) for b in range(batches)]
+    assert max(counts) < 100  # copies of a row are shared out too
+
+
+def test_more_tasks_than_cores(vectors):
+    few = vectors.filter("vec_id < 200")
+    models = [SynchronousMLP(layers=LAYERS, batchSize=50, numWorkers=w, validationSplit=0.0).fit(few) for w in (1, 20)]
+    assert np.abs(models[0].weights - models[1].weights).max() < 1e-5
