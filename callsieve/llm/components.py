@@ -14,7 +14,7 @@ MAX_ROUNDS = 60
 FEW_LINKS = 10_000
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, most: int | None = None) -> DataFrame:
     """`node, component` for every end of `links` (columns `a, b`, of one type): nodes that links join share a component.
 
     In each round every node moves to the neighbour (or itself) with the smallest hash of that round, links are
@@ -24,12 +24,14 @@ def components(links: DataFrame) -> DataFrame:
     `FEW_LINKS` links are joined by one task, whose result, with that bound, is broadcast.
 
     Every round's tables are written and read again: with the sizes of its files the planner never multiplies
-    the estimates of earlier rounds, which would soon fill the driver with numbers of millions of digits.
+    the estimates of earlier rounds, which would soon fill the driver with numbers of millions of digits. Their files follow the
+    number of links; the first table's do if the caller knows that there are `most` links at most.
     """
-    edges = stored(links.select("a", "b").filter(F.col("a") != F.col("b")).distinct())
+    edges = stored(links.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), most)
     if (left := edges.count()) <= FEW_LINKS:
         return joined_by_one_task(edges)
-    nodes = stored(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct())
+    nodes = stored(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), 2 * left)
+    ends = nodes.count()
     names = nodes.select("node", F.col("node").alias("component"))
     for turn in range(MAX_ROUNDS):
         if left == 0:
@@ -45,13 +47,14 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
         nearest = both.groupBy("a").agg(F.min(order("b")).alias("other"))
         moves = stored(
-            nearest.select(F.col("a").alias("old"), F.least("other", order("a"))["to"].alias("new"))
+            nearest.select(F.col("a").alias("old"), F.least("other", order("a"))["to"].alias("new")),
+            min(ends, 2 * left),
         )
         moved = lambda df, name: (
             df.join(moves, F.col(name) == F.col("old"), "left").withColumn(name, F.coalesce("new", name)).drop("old", "new")
         )
-        edges = stored(moved(moved(edges, "a"), "b").filter(F.col("a") != F.col("b")).distinct())
-        names = stored(moved(names, "component"))
+        edges = stored(moved(moved(edges, "a"), "b").filter(F.col("a") != F.col("b")).distinct(), left)
+        names = stored(moved(names, "component"), ends)
         left = edges.count()
     raise RuntimeError("links did not contract; this does not happen with working hashes")
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callsieve.llm.components import components
-from callsieve.llm.shared import broadcast_if_small, fresh, stored
+from callsieve.llm.shared import FILE_TEXTS, broadcast_if_small, fresh, stored
 from callsieve.llm.words import find_words, give_back_memory, mix, powers, text_slices, window_hashes
 from callsieve.shipping import ship_package
 
@@ -242,7 +242,7 @@ def links_of_large_regions(rows: DataFrame, sets: DataFrame, docs: DataFrame) ->
     if large.isEmpty():
         return None
     ends = large.select(F.unhex(F.hex("region")).alias("a"), F.col("set_key").alias("b"))
-    clusters = components(ends).toDF("set_key", "cluster")
+    clusters = components(ends, large.count()).toDF("set_key", "cluster")
     members = stored(large.select("set_key", "component", "n_shingles").distinct().join(clusters, "set_key"))
     counts = members.groupBy("cluster", "component").agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles")
@@ -326,10 +326,11 @@ def texts_of(keys: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 
     Only the keys move if their size allows it; the corpus is read once and its other texts are left.
     """
-    wanted = broadcast_if_small(stored(sets.join(keys.distinct(), "set_key").select("set_key", "low")))
+    wanted = stored(sets.join(keys.distinct(), "set_key").select("set_key", "low"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), "text")
     own = F.col("id").eqNullSafe(F.col("low.doc_id")) & (F.col("hash") == F.col("low.text_hash"))
-    return stored(rows.join(wanted, own).groupBy("set_key").agg(F.first("text").alias("text")))
+    texts = rows.join(broadcast_if_small(wanted), own).groupBy("set_key").agg(F.first("text").alias("text"))
+    return stored(texts, wanted.count(), FILE_TEXTS)
 
 
 def between(pairs: DataFrame, names: DataFrame) -> DataFrame:
@@ -366,14 +367,15 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = stored(sets)
 
     close = stored(alike(neighbours(sets), sets))
+    n = close.count()
     texts = texts_of(close.select(F.col("a").alias("set_key")).union(close.select("b")), sets, docs)
     best = close.select("a", "b", "agree").union(close.select(F.col("b"), F.col("a"), "agree"))
     best = best.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
     best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stored(confirmed(best, texts))
-    links = stored(links.union(confirmed(between(close, components(links)), texts)))
+    links = stored(links.union(confirmed(between(close, components(links, n)), texts)))
 
-    names = components(links)
+    names = components(links, 2 * n)
     rows = open_regions(sets, names)
     rest = stored(alike(pairs_of_small_regions(rows), sets))
     if not rest.isEmpty():

@@ -10,17 +10,23 @@ from callsieve.operators.checkpoints import BROADCAST_BYTES, size_in_bytes, use_
 
 # One word: a run of bytes that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+# Rows a file, where the number of rows is known beforehand: of links or names, and of texts.
+FILE_ROWS, FILE_TEXTS = 10_000, 1_000
 # Parts whose counts one window of `first_numbers` adds up.
 PARTS_AT_ONCE = 4096
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, most: int | None = None, file_rows: int = FILE_ROWS) -> DataFrame:
     """`df` written once as Parquet to a new folder in the checkpoint folder, and read again.
 
     The table cuts lineage: a lost executor costs a re-read, not a recomputation, and columns that a
-    later step does not use are not read.
+    later step does not use are not read. With `most`, the number of rows that `df` has at most, there is a
+    file for each `file_rows` of these, or fewer: on local disks every file of its own takes processes of its own (Hadoop's
+    `chmod`), each of which for a moment adds to what its executor takes.
     """
     spark = df.sparkSession
+    if most is not None:
+        df = df.coalesce(max(1, -(-most // file_rows)))
     use_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(folder)
