@@ -18,12 +18,12 @@ NEGATIVES = 10
 LOWEST, HIGHEST = 30, 90  # per cent of the positive's score
 BITS = 4  # of each component in a row's place on the curve
 BLOCK = 256  # rows
-SHELF = 16  # blocks that one task reads for one section of anchors
+SHELF = 64  # blocks that a task reads for one section of anchors after the other
+MAPS = 1024  # zone maps that one task reads for one section of anchors
 SECTION = 1024  # anchors
-CHUNK = 128  # anchors at a time in a task
-# Scores up to here are exact in doubles, and a score and a place on a shelf fit a long together.
+CHUNK = 64  # anchors at a time in a task
+# Scores under this are exact in doubles, and so are the bounds of their windows.
 LARGEST_SCORE = 1 << 49
-NONE = np.iinfo(np.int64).min
 
 ROWS = "row long, vec_id long, label long, anchor boolean, place binary, cells binary"
 BLOCKS = "block long, label long, anchors int, rows binary, ids binary, asked binary, cells binary, low binary, high binary"
@@ -190,18 +190,19 @@ class Anchors:
         at = np.flatnonzero(read[shelf.block])
         if not len(at):
             return
-        n = len(shelf.ids)
-        scores = (self.cells @ shelf.cells[at].T).astype(np.int64)
-        keys = scores * n + (n - 1 - shelf.turn[at])[None, :]
+        scores = self.cells @ shelf.cells[at].T
         fits = self.fits(shelf.labels[at]) & (self.row[:, None] != shelf.rows[at][None, :])
-        by_turn = np.argsort(shelf.turn)
+        fits &= (scores >= self.least.min(axis=1)[:, None]) & (scores <= self.most.max(axis=1)[:, None])
+        anchor, column = np.nonzero(fits)
+        score = scores[anchor, column].astype(np.int64)
+        order = np.lexsort((shelf.turn[at][column], -score, anchor))
+        anchor, score, candidate = anchor[order], score[order], at[column[order]]
         for w, (least, most) in enumerate(zip(self.least.T, self.most.T, strict=True)):
-            inside = np.where(fits & (scores >= least[:, None]) & (scores <= most[:, None]), keys, NONE)
-            top = np.partition(inside, len(at) - min(k, len(at)), axis=1)[:, -k:]
-            anchor, column = np.nonzero(top != NONE)
-            found = top[anchor, column]
-            row = by_turn[n - 1 - found % n]
-            yield self.row[anchor], np.full(len(found), w), shelf.ids[row], shelf.rows[row], found // n
+            inside = np.flatnonzero((score >= least[anchor]) & (score <= most[anchor]))
+            own = anchor[inside]
+            top = inside[np.arange(len(own)) - np.searchsorted(own, own) < k]
+            found = candidate[top]
+            yield self.row[anchor[top]], np.full(len(top), w), shelf.ids[found], shelf.rows[found], score[top]
 
 
 def chunks(anchors: list[dict], width: int, same_label: bool) -> Iterator[Anchors]:
@@ -214,26 +215,35 @@ def found_in_blocks(
 ) -> DataFrame:
     """`anchor, window, vec_id, row, score`: the k best candidates of each window in every shelf that has any.
 
-    Zone maps alone meet all sections of anchors first, a shelf of maps at a time. Then the blocks that they call for
-    are read, and no other.
+    Zone maps alone meet all sections of anchors first, about `MAPS` at a time. Then every shelf meets the sections that
+    call for any of its blocks, and gives them these and no other. Nothing here is broadcast: Spark goes by the size of
+    files, which are packed and hold long lists, and what it takes for small would go through the driver whole.
     """
+    together = max(1, MAPS // SHELF)
     shelf = F.pmod(F.xxhash64("block"), F.lit(shelves)).cast("int").alias("shelf")
-    maps = blocks.select(shelf, F.struct("block", "label", "low", "high").alias("map"))
-    maps = maps.groupBy("shelf").agg(F.collect_list("map").alias("maps"))
-    asked = sections.select("section", "anchors", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"))
+    maps = blocks.select(F.struct("block", shelf, "label", "low", "high").alias("map"))
+    maps = maps.groupBy(F.floor(F.col("map.shelf") / together).cast("int").alias("atlas")).agg(F.collect_list("map").alias("maps"))
+    atlas = F.explode(F.sequence(F.lit(0), F.lit((shelves - 1) // together))).alias("atlas")
+    asked = sections.select("section", "anchors", atlas)
 
     def called_for(row: dict) -> Iterator[tuple]:
         held = Shelf(row["maps"], width)
         read = np.zeros(len(held.label), bool)
         for own in chunks(row["anchors"], width, same_label):
             read |= own.must_read(held).any(axis=0)
+        needed = {}
         for i in np.flatnonzero(read).tolist():
-            yield row["section"], row["shelf"], row["maps"][i]["block"]
-
-    kinds = (pa.int32(), pa.int32(), pa.int64())
-    needed = by_row(asked.join(maps, "shelf"), called_for, "section int, shelf int, block long", kinds)
-    parts = needed.join(blocks, "block").groupBy("section", "shelf")
-    parts = parts.agg(F.collect_list(F.struct(*[f.split()[0] for f in BLOCKS.split(", ")])).alias("blocks"))
+            needed.setdefault(row["maps"][i]["shelf"], []).append(row["maps"][i]["block"])
+        for number, own in needed.items():
+            yield row["section"], number, own
+
+    kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()))
+    needed = by_row(asked.join(maps.hint("merge"), "atlas"), called_for, "section int, shelf int, needed array<long>", kinds)
+    calling = needed.join(sections.hint("merge"), "section").repartition(shelves, "shelf")
+    held = blocks.select(shelf, F.struct("block", "label", "rows", "ids", "cells", "low", "high").alias("own"))
+    held = held.repartition(shelves, "shelf").groupBy("shelf").agg(F.collect_list("own").alias("blocks"))
+    called = F.filter("blocks", lambda block: F.array_contains("needed", block["block"])).alias("blocks")
+    parts = calling.join(held.hint("merge"), "shelf").select("anchors", called)
 
     def best(row: dict) -> Iterator[tuple]:
         held = Shelf(row["blocks"], width)
@@ -243,7 +253,7 @@ def found_in_blocks(
 
     schema = "anchor long, window int, vec_id long, row long, score long"
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-    return by_row(parts.join(sections, "section"), best, schema, kinds)
+    return by_row(parts, best, schema, kinds)
 
 
 def by_row(df: DataFrame, function: Callable[[dict], Iterator[tuple]], schema: str, kinds: tuple) -> DataFrame:
@@ -326,7 +336,7 @@ def mined(
     positives = stored(positives)
 
     scores = positives.groupBy("anchor").agg(F.array_sort(F.collect_set("positive_score")).alias("scores"))
-    asked = anchors.join(scores.withColumnRenamed("anchor", "row"), "row").select(
+    asked = anchors.join(scores.withColumnRenamed("anchor", "row").hint("merge"), "row").select(
         "row", "label", "cells", "scores",
         F.expr(f"transform(scores, p -> -((-p * {LOWEST} - pmod(-p * {LOWEST}, 100L)) div 100))").alias("least"),
         F.expr(f"transform(scores, p -> (p * {HIGHEST} - pmod(p * {HIGHEST}, 100L)) div 100)").alias("most"),
@@ -337,9 +347,9 @@ def mined(
     windows = asked.select(F.col("row").alias("anchor"), F.posexplode("scores").alias("window", "positive_score"))
     named = anchors.select(F.col("row").alias("anchor"), F.col("vec_id").alias("anchor_id"))
     return (
-        negatives.join(windows, ["anchor", "window"])
-        .join(positives, ["anchor", "positive_score"])
-        .join(named, "anchor")
+        negatives.join(windows.hint("merge"), ["anchor", "window"])
+        .join(positives.hint("merge"), ["anchor", "positive_score"])
+        .join(named.hint("merge"), "anchor")
         .select(
             "anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score",
             F.col("score").alias("negative_score"),

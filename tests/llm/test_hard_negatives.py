@@ -46,6 +46,21 @@ def test_many_blocks_against_brute_force(spark, monkeypatch, block, shelf, secti
     checked(spark, vectors(random.Random(1), 400, 6), 200)
 
 
+def test_no_table_is_broadcast_however_small_its_files(spark, monkeypatch):
+    """Also where several groups of zone maps, shelves and sections meet."""
+    for name, value in (("BLOCK", 7), ("SHELF", 3), ("MAPS", 6), ("SECTION", 5), ("CHUNK", 4)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    made, stored = [], hard_negatives.stored
+    monkeypatch.setattr(hard_negatives, "stored", lambda df: made.append(df) or stored(df))
+    rows = vectors(random.Random(5), 400, 6)
+    table = spark.createDataFrame([(*r, 1, 2) for r in rows], SCHEMA)
+    found = hard_negatives.mined(table, F.col("vec_id") % 100 == 0)
+    assert sorted(map(tuple, found.collect())) == brute_force(rows)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in [*made, found]]
+    assert sum("Join" in plan for plan in plans) >= 3
+    assert not [plan for plan in plans if "Broadcast" in plan]
+
+
 def test_ties_repeated_rows_nulls_and_other_lengths(spark):
     draw = random.Random(2)
     rows = [(i, [draw.choice([0.0, 0.5, 1.0]) for _ in range(3)], draw.choice([0, 1, 1, None])) for i in range(0, 2000, 20)]
